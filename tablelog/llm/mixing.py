@@ -5,8 +5,8 @@ words to the sources' quotas. The first repetition of a pattern costs nothing, e
 words are repeated only where a quota can't be met otherwise. Within a pattern, a seeded order of the documents says which
 of them take each source's share: they are laid out in that order, and the flows cut the line into stretches.
 
-Scale: one shuffle of (pattern, bucket) sums, bounded by patterns x BUCKETS. A running total over the bucket sums finds the
-bucket that a cut falls into; only that bucket's documents are numbered one by one, so no task holds a source's documents.
+Scale: the running total over a pattern's line goes in two steps, over the sums of 16 ** BUCKET_DIGITS buckets of the seeded
+key and within each bucket, so no task holds a source's documents, however hot the source.
 """
 
 from __future__ import annotations
@@ -155,15 +155,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = rows.withColumn("_p", name)
     bucket = rows.groupBy("_p", "_bucket").agg(F.sum("size").alias("_sum"))
     before = F.coalesce(F.sum("_sum").over(Window.partitionBy("_p").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bucket = bucket.select("_p", "_bucket", "_sum", before.alias("_before")).join(facts, "_p", "left")
-    inside = F.exists(F.coalesce("_cuts", F.array().cast(stretches.schema["_cuts"].dataType)), lambda c: ((c.a > F.col("_before")) & (c.a < F.col("_before") + F.col("_sum"))) | ((c.b > F.col("_before")) & (c.b < F.col("_before") + F.col("_sum"))))
-    bucket = bucket.withColumn("_cut", inside)
-    rows = rows.join(bucket, ["_p", "_bucket"])
+    bucket = bucket.select("_p", "_bucket", before.alias("_before")).join(facts, "_p", "left")
+    # the join deals rows out by pattern and bucket; the running total needs no other exchange
     line = Window.partitionBy("_p", "_bucket").orderBy("_key", "size", id_col).rowsBetween(Window.unboundedPreceding, -1)
-    cut = rows.where("_cut").withColumn("_at", F.col("_before") + F.coalesce(F.sum("size").over(line), F.lit(0)))
-    whole = rows.where("not _cut").withColumn("_at", F.col("_before"))
-    middle = F.when(F.col("_cut"), F.col("_at") + F.col("size") / 2).otherwise(F.col("_before") + F.col("_sum") / 2)
+    middle = F.col("_before") + F.coalesce(F.sum("size").over(line), F.lit(0)) + F.col("size") / 2
     got = F.filter(F.coalesce("_cuts", F.array().cast(stretches.schema["_cuts"].dataType)), lambda c: (F.col("size") > 0) & (c.a <= F.col("_mid")) & (F.col("_mid") < c.b))
-    return cut.unionByName(whole).withColumn("_mid", middle).withColumn("_got", got).select(
+    return rows.join(bucket, ["_p", "_bucket"]).withColumn("_mid", middle).withColumn("_got", got).select(
         F.col(id_col), "size", "source_size", "target", (F.size("_got") * F.col("size")).cast("long").alias("taken"), F.transform("_got", lambda c: c.source).alias("by_source")
     )
