@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelog.llm import chat_format, mixing, pii, quality, secrets, token_counts, toxicity
+from tablelog.llm import chat_format, decontaminate, jaccard_join, mixing, neighbours, pii, quality, secrets, token_counts, toxicity
 from tablelog.llm.common import fold, table
 
 
@@ -39,6 +39,19 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.select("vec_id").where("vec_id % 100 = 0"))
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, sf_dir, "documents"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -85,5 +98,5 @@ l as (
 select doc_id, size, source_size, target, (size * ((mid < f0)::int + (mid < f1)::int))::bigint as taken from l
 """
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_chat_format, op4_quality, op5_secrets, op9_mixing, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_chat_format, op4_quality, op5_secrets, op6_neighbours, op7_jaccard_join, op8_decontaminate, op9_mixing, op10_pii)}
 SQL = {"op3_chat_format": OP3_SQL, "op9_mixing": OP9_SQL}
