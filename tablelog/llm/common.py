@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,6 +74,17 @@ def integral(df: DataFrame, *names: str) -> None:
             raise TypeError(f"column {n!r} must hold integers, not {df.schema[n].dataType.simpleString()}")
 
 
+def edit_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
+    """df with each Arrow batch passed through the function that make() builds once a task; the columns stay as they are."""
+
+    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edit = make()
+        for batch in batches:
+            yield edit(batch)
+
+    return df.mapInArrow(f, df.schema)
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 3; a null id counts as the text ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3

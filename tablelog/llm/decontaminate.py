@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablelog.llm.common import edit_batches
 from tablelog.llm.shingles import WordHash, rolling
 
 #: Tokens of a seed and of the shortest tile, share of an item's tokens that tiles must cover, bytes of a block of items.
@@ -156,18 +157,35 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """
     schema = T.StructType([docs.schema[id_col], T.StructField("item_id", benchmark.schema[item_col].dataType), T.StructField("coverage", T.DoubleType()), T.StructField("n_tiles", T.LongType()), T.StructField("n_covered", T.LongType())])
     item_type = pa.schema([("x", _arrow(benchmark, item_col))]).field(0).type
-    items = benchmark.select(F.col(item_col).alias("i"), F.col(item_text_col).alias("t"))
-    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
     base = docs.select(id_col, text_col)
     out = None
-    for b in range(blocks):
-        rows = [tuple(r) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).collect()]
+    for rows in _blocks(benchmark, item_col, item_text_col, block_bytes):
         found = base.mapInArrow(_scanner(rows, seed, coverage, item_type, schema.names), schema)
         out = found if out is None else out.unionAll(found)
     return out
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", seed: int = SEED, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """docs without the rows that find_leaks() reports for any item; all columns stay, one narrow pass a block of items."""
+    at = docs.columns.index(text_col)
+    for rows in _blocks(benchmark, item_col, item_text_col, block_bytes):
+
+        def make(rows=rows):
+            block, known = Items(sorted(rows, key=repr), seed), WordHash()
+            return lambda batch: batch.filter(pa.array([not block.leaks(x.as_py() or "", known, coverage) for x in batch.column(at)], pa.bool_()))
+
+        docs = edit_batches(docs, make)
+    return docs
+
+
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_bytes: int) -> Iterator[list[tuple]]:
+    items = benchmark.select(F.col(item_col).alias("i"), F.col(item_text_col).alias("t"))
+    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    blocks = max(1, -(-size // block_bytes))
+    for b in range(blocks):
+        yield [tuple(r) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).collect()]
+
+
 def _arrow(df: DataFrame, name: str) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -22,7 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelog.llm.common import discard, integral, materialise
@@ -381,6 +381,18 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), F.col("component_id").cast(docs.schema[id_col].dataType).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """docs with one document of each component, the one whose id names it; all columns stay.
+
+    Rows of one id are one document: of those that stay, the row with the smallest text (nulls first). Rows with a null id
+    can't be told apart by id and all stay.
+    """
+    kept = classes(docs, id_col, text_col, words, percent).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()
+    order = F.row_number().over(Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first()))
+    named = docs.join(kept, F.col(id_col) == F.col("_kept"), "left_semi").withColumn("_row_of_id", order).where("_row_of_id = 1").drop("_row_of_id")
+    return named.unionAll(docs.where(F.col(id_col).isNull()))
+
+
 def _bring(base: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(c, s, set): the texts of the wanted ids, shingled again. Rows that share an id with another text are sifted by s."""
     texts = wanted.join(base, wanted["_id"].eqNullSafe(base["_id"])).select("c", "s", "_text")

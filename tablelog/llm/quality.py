@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablelog.llm.common import edit_batches
+
 #: Random features, ridge penalty, kernel width (in standard deviations), bins of the calibration.
 D, RIDGE, WIDTH, SCORE_BINS = 256, 1.0, 3.0, 1000
 #: Bound of the training sample.
@@ -191,3 +193,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32))], names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(f, schema)
+
+
+def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """docs without the rows whose score is below threshold; all columns stay. Null and empty texts as in score()."""
+    at = docs.columns.index(text_col)
+
+    def make():
+        def edit(batch: pa.RecordBatch) -> pa.RecordBatch:
+            x = np.array([statistics(t.as_py() or "") for t in batch.column(at)], float).reshape(-1, STATISTICS)
+            return batch.filter(pa.array(model.score(x) >= threshold, pa.bool_()))
+
+        return edit
+
+    return edit_batches(docs, make)

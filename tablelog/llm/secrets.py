@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablelog.llm.common import edit_batches
+
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = re.compile(r"""(?ai:(?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -180,6 +182,31 @@ def find_secrets(docs: DataFrame, samples: Iterable[tuple[str, int]] | None = No
     return docs.select(id_col, text_col).mapInArrow(f, schema)
 
 
+def redacted(docs: DataFrame, samples: Iterable[tuple[str, int]] | None = None, text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
+    """docs with every span of their texts as [SECRET]; chars_col, if docs has it, follows the new length. A null text stays
+    null, a text without secrets as it is; all rows and columns stay."""
+    samples = list(labelled_samples() if samples is None else samples)
+    at = docs.columns.index(text_col)
+    n_at = docs.columns.index(chars_col) if chars_col in docs.columns else None
+
+    def make():
+        ratio = Ratio(samples)
+
+        def edit(batch: pa.RecordBatch) -> pa.RecordBatch:
+            old = batch.column(at).to_pylist()
+            new = [x if x is None else redact(x, scan(x, ratio)) for x in old]
+            columns = list(batch.columns)
+            columns[at] = pa.array(new, batch.schema.field(at).type)
+            if n_at is not None:
+                counts = batch.column(n_at).to_pylist()
+                columns[n_at] = pa.array([c if x is y or x == y else len(y) for c, x, y in zip(counts, old, new, strict=True)], batch.schema.field(n_at).type)
+            return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+        return edit
+
+    return edit_batches(docs, make)
+
+
 def redact(text: str, spans: list[tuple[int, int, str]], mark: str = "[SECRET]") -> str:
     pieces, at = [], 0
     merged: list[list[int]] = []
