@@ -5,8 +5,9 @@ it. The steps:
 
 1. One pass gives each document's set size, set number and a parity bitmap, and the shingles repeated within a task. Their
    sums put shingles in one global order, frequent last (HEAVY of them at most; any order gives the same links).
-2. A second pass emits each set's prefix in that order: two sets that link share a shingle of their prefixes. Entries go to
-   ranges of shingle numbers as packed arrays; runs of equal shingles there are the candidate groups.
+2. A second pass emits each set's prefix in that order, one shingle longer than need be: two sets that link share two
+   shingles of their prefixes. Entries go to ranges of shingle numbers as packed arrays; sets with an equal shingle there are
+   a candidate group. A group of two sets that came from one shingle alone goes: if they link, a larger group has both.
 3. Within a group of up to GROUP sets, bitmaps bound the symmetric difference from below; what may link is connected. The
    sets of a larger group (very frequent shingles) are all connected: a superset costs work, not results.
 4. Connected candidates meet with their whole sets in blocks of BLOCK shingles. A trie holds the block's sets, ordered;
@@ -18,7 +19,8 @@ it. The steps:
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tablelog.llm.common import discard, integral, materialise
 from tablelog.llm.components import components
-from tablelog.llm.shingles import WordHash, set_number, shingle_set
+from tablelog.llm.shingles import WordHash, mix, set_number, shingle_set
 
 #: Link when 100 * intersection >= PERCENT * union; words of a shingle.
 PERCENT, WORDS = 75, 5
@@ -45,7 +47,8 @@ def needed(n: int, m: int, percent: int = PERCENT) -> int:
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
-    return n - -(-percent * n // 100) + 1
+    """Shingles of which linked sets share two: n less the least intersection, and two."""
+    return min(n, n - -(-percent * n // 100) + 2)
 
 
 def bitmap(s: np.ndarray) -> bytes:
@@ -272,7 +275,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], heavy: np.ndarray, counts: np.n
 
 
 def _groups(table: pa.Table) -> pa.Table:
-    """Sets that share a prefix shingle: an array for each distinct group."""
+    """Sets that share a prefix shingle: an array for each distinct group, and how many shingles it came from."""
     key = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint32)
     number = np.frombuffer(b"".join(table.column("sets").to_pylist()), np.int64)
     order = np.lexsort((number, key))
@@ -281,8 +284,8 @@ def _groups(table: pa.Table) -> pa.Table:
     key, number = key[new], number[new]
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     ends = np.r_[starts[1:], len(key)]
-    out: set[bytes] = {number[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True) if b - a > 1}
-    return pa.table({"sets": pa.array([np.frombuffer(x, np.int64) for x in sorted(out)], pa.list_(pa.int64()))})
+    out = Counter(number[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True) if b - a > 1)
+    return pa.table({"sets": pa.array([np.frombuffer(x, np.int64) for x in out], pa.list_(pa.int64())), "k": pa.array(list(out.values()), pa.int64())})
 
 
 def _runs(batches: Iterator[pa.RecordBatch], n_keys: int = 1) -> Iterator[pa.Table]:
@@ -314,11 +317,47 @@ def _sift(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
     yield send()
 
 
-def _packed(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    known = WordHash()
+def _bitset(keys: DataFrame) -> np.ndarray:
+    """A bit for each key (longs) at its hash: 16 bits a key, 8 MB at most. Nothing that is in keys tests as absent."""
+    size = 1 << min(26, max(12, int(16 * keys.count()).bit_length()))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _places(batch.column(0), size)
+            words, to = np.unique(at >> 6, return_inverse=True)
+            bits = np.zeros(len(words), np.uint64)
+            np.bitwise_or.at(bits, to, np.uint64(1) << (at & 63).astype(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(bits.astype(np.int64))], names=["w", "b"])
+
+    got = keys.mapInArrow(mark, "w long, b long").groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()  # size / 64 rows at most
+    out = np.zeros(size // 64, np.uint64)
+    out[np.array(got.column("w"), np.int64)] = np.array(got.column("b"), np.int64).astype(np.uint64)
+    return out
+
+
+def _places(keys: pa.Array, size: int) -> np.ndarray:
+    return (mix(np.array(keys, np.int64).astype(np.uint64)) & np.uint64(size - 1)).astype(np.int64)
+
+
+def _test(keys: pa.Array, bits: np.ndarray) -> np.ndarray:
+    at = _places(keys, 64 * len(bits))
+    return (bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
+def _within(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingle_set(x.as_py() or "", known, words).tobytes() for x in batch.column(2)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], names=["c", "s", "set"])
+        yield batch.filter(pa.array(_test(batch.column(0), bits), pa.bool_()))
+
+
+def _packed(batches: Iterator[pa.RecordBatch], words: int, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(k, text) of rows whose k may be wanted -> (k, s, set)."""
+    known = WordHash()
+    for batch in _within(batches, bits):
+        sets = [shingle_set(x.as_py() or "", known, words) for x in batch.column(1)]
+        full = pa.array([len(a) > 0 for a in sets], pa.bool_())
+        numbers = pa.array([set_number(a) for a in sets], pa.int64())
+        out = pa.RecordBatch.from_arrays([batch.column(0), numbers, pa.array([a.tobytes() for a in sets], pa.binary())], names=["k", "s", "set"])
+        yield out.filter(full)
 
 
 def _joined(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -354,10 +393,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     order_of = spark.sparkContext.broadcast((heavy[order], counts[order].astype(np.int32)))
     ranges = max(64, base.rdd.getNumPartitions())
     entries = base.select("_text").mapInArrow(lambda it: _prefixes(it, *order_of.value, ranges, words, percent), "r int, keys binary, sets binary")
-    groups = materialise(entries.groupBy("r").applyInArrow(_groups, "sets array<long>").groupBy("sets").agg(F.count("*").alias("k")).drop("k"), "groups")
-    by_set = facts.where("s is not null").groupBy("s").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("map").alias("map"))
+    groups = materialise(entries.groupBy("r").applyInArrow(_groups, "sets array<long>, k long").groupBy("sets").agg(F.sum("k").alias("k")).where("k > 1 or size(sets) > 2").drop("k"), "groups")
+    by_set = facts.where("s is not null").groupBy("s").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     small = groups.where(F.size("sets") <= GROUP).select(F.xxhash64("sets").alias("g"), F.explode("sets").alias("s"))
-    sifted = small.join(by_set.select("s", "n", "map"), "s").select("g", "s", "n", "map").repartition("g").sortWithinPartitions("g", "s").mapInArrow(lambda it: _sift(it, percent), "a long, b long")
+    there = _bitset(small.select("s"))
+    mapped = facts.where("s is not null").select("s", "n", "map").mapInArrow(lambda it: _within(it, there), "s long, n long, map binary").dropDuplicates(["s"])
+    sifted = small.join(mapped, "s").select("g", "s", "n", "map").repartition("g").sortWithinPartitions("g", "s").mapInArrow(lambda it: _sift(it, percent), "a long, b long")
     large = groups.where(F.size("sets") > GROUP).select(F.array_min("sets").alias("a"), F.explode("sets").alias("b"))
     edges = materialise(sifted.unionAll(large), "candidates")
     discard(groups)
@@ -394,16 +435,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _bring(base: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(c, s, set): the texts of the wanted ids, shingled again. Rows that share an id with another text are sifted by s."""
-    texts = wanted.join(base, wanted["_id"].eqNullSafe(base["_id"])).select("c", "s", "_text")
-    checked = texts.mapInArrow(lambda it: _packed(it, words), "c long, s long, set binary")
-    return checked.mapInArrow(_own, "c long, s long, set binary").dropDuplicates(["s"])
-
-
-def _own(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = [bool(p) and set_number(np.frombuffer(p, np.uint64)) == s for s, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-        yield batch.filter(pa.array(keep, pa.bool_()))
+    """(c, s, set): the wanted documents shingled again. Their ids go along as a bitset of bounded size, so texts are not
+    shuffled, only the sets of what passes it."""
+    none = F.lit(-(1 << 63))
+    keyed = wanted.select("c", "s", F.coalesce("_id", none).alias("k"))
+    bits = _bitset(keyed.select("k"))
+    found = base.select(F.coalesce("_id", none).alias("k"), "_text").mapInArrow(lambda it: _packed(it, words, bits), "k long, s long, set binary")
+    return keyed.join(found, ["k", "s"]).select("c", "s", "set").dropDuplicates(["s"])
 
 
 def _across(sets: DataFrame, per: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
