@@ -36,7 +36,7 @@ PERCENT, WORDS = 75, 5
 #: Most shingles in the frequency order (12 bytes each are broadcast), least count to be in it.
 HEAVY, LEAST = 1_000_000, 4
 #: Largest candidate group that is sifted by bitmaps; shingles of a block; shingles that a task counts at once.
-GROUP, BLOCK, COUNTED = 2048, 400_000, 4_000_000
+GROUP, BLOCK, COUNTED = 2048, 400_000, 1_500_000
 #: Sets of each component of a block that meet those of other blocks first.
 LEADERS = 6
 

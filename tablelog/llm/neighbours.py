@@ -5,6 +5,9 @@ groups cut to at most GROUP nodes): each node's nearest in its group are its fir
 node's neighbours, of both directions, meet each other, and every node keeps the nearest it has met. A query starts at its own
 node or at entry points and in each step looks at the neighbours of all nodes of its beam it hasn't looked at yet. What is
 returned is ranked by exact distances in double precision.
+
+Graph and walk use vectors rounded to a byte a component, with a scale of their own: they only choose whom to measure. A pair
+is passed on only if it is nearer than the farthest neighbour that one of the two keeps, so late rounds move little.
 """
 
 from __future__ import annotations
@@ -47,7 +50,27 @@ def matrix(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1)
+    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+
+
+def pack(x: np.ndarray) -> list[bytes]:
+    """Each row as a scale and a signed byte per component."""
+    scale = (np.abs(x).max(1, keepdims=True) / 127).astype(np.float32)
+    return [s.tobytes() + r.tobytes() for s, r in zip(scale, np.rint(x / scale).astype(np.int8), strict=True)]
+
+
+def unpack(column: pa.Array) -> np.ndarray:
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if not len(column):
+        return np.zeros((0, 1), np.float32)
+    rows = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    return rows[:, 4:].view(np.int8) * np.ascontiguousarray(rows[:, :4]).view(np.float32)
+
+
+def _rounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pack(matrix(batch.column(1))) if batch.num_rows else [], pa.binary())], names=["u", "v"])
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -76,7 +99,7 @@ def _leaves(batches: Iterator[pa.RecordBatch], trees: list[list[tuple[np.ndarray
     for batch in batches:
         if not batch.num_rows:
             continue
-        x = matrix(batch.column(1))
+        x = unpack(batch.column(1))
         for t, planes in enumerate(trees):
             at = np.zeros(len(x), np.int64)
             w, cut = np.array([p[0] for p in planes]) if planes else np.zeros((1, x.shape[1])), np.array([p[1] for p in planes] or [0.0])
@@ -86,38 +109,42 @@ def _leaves(batches: Iterator[pa.RecordBatch], trees: list[list[tuple[np.ndarray
 
 
 def _nearest_in(table: pa.Table, most: int) -> pa.Table:
-    u, x = table.column("u").to_numpy(), matrix(table.column("v"))
+    u, x = table.column("u").to_numpy(), unpack(table.column("v"))
     d = distances(x, x)
     np.fill_diagonal(d, np.inf)
     k = min(most, len(u) - 1)
     if k < 1:
         return pa.table({"u": pa.array([], pa.int64()), "w": pa.array([], pa.int64()), "d": pa.array([], pa.float64())})
     near = np.argpartition(d, k - 1, axis=1)[:, :k]
-    return pa.table({"u": np.repeat(u, k), "w": u[near].ravel(), "d": np.take_along_axis(d, near, 1).ravel()})
+    return pa.table({"u": np.repeat(u, k), "w": u[near].ravel(), "d": np.take_along_axis(d, near, 1).ravel().astype(float)})
 
 
-def _meet(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """(u, w, v, new) sorted by u -> pairs of neighbours of one node, each with the nearest it meets: (u, w, d)."""
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, w, v, far, new) sorted by u -> pairs (u, w, d) of one node's neighbours that are nearer than u's farthest."""
     from tablelog.llm.jaccard_join import _runs
 
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     count = 0
-    send = lambda: pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[k] for o in out])) for k in range(3)], names=["u", "w", "d"])
+
+    def send() -> pa.RecordBatch:
+        a, b, d = (np.concatenate([o[k] for o in out]) for k in range(3))
+        order = np.lexsort((b, a))
+        a, b, d = a[order], b[order], d[order]
+        once = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
+        return pa.RecordBatch.from_arrays([pa.array(x[once]) for x in (a, b, d.astype(float))], names=["u", "w", "d"])
+
     for run in _runs(batches):
-        w, new, x = run.column("w").to_numpy(), run.column("new").to_numpy(zero_copy_only=False).astype(bool), matrix(run.column("v"))
+        w, new, x, far = run.column("w").to_numpy(), run.column("new").to_numpy(zero_copy_only=False).astype(bool), unpack(run.column("v")), run.column("far").to_numpy()
         if len(w) < 2 or not new.any():
             continue
         d = distances(x, x)
-        np.fill_diagonal(d, np.inf)
-        d[np.ix_(~new, ~new)] = np.inf  # they have met before
-        k = min(most, len(w) - 1)
-        near = np.argpartition(d, k - 1, axis=1)[:, :k]
-        far = np.take_along_axis(d, near, 1).ravel()
-        a, b = np.repeat(w, k), w[near].ravel()
-        keep = np.isfinite(far) & (a != b)
-        out.append((a[keep], b[keep], far[keep]))
-        count += int(keep.sum())
-        if count > 50_000:
+        near = d < far[:, None]
+        np.fill_diagonal(near, False)
+        near[np.ix_(~new, ~new)] = False  # they have met before
+        i, j = np.nonzero(near)
+        out.append((w[i], w[j], d[i, j]))
+        count += len(i)
+        if count > 500_000:
             yield send()
             out, count = [], 0
     if out:
@@ -125,25 +152,25 @@ def _meet(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBat
 
 
 def build_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
-    """(u, w, d): each node's nearest neighbours met, at most degree; d is the squared distance. nodes: (u, v)."""
+    """(u, w, d): each node's nearest neighbours met, at most degree; d is about the squared distance. nodes: (u, v), rounded."""
     n = nodes.count()
     # a bounded sample, by hash of the node
-    sample = np.array([r.v for r in nodes.orderBy(F.xxhash64("u"), "u").limit(SAMPLE).select("v").collect()], float)
+    sample = unpack(nodes.orderBy(F.xxhash64("u"), "u").limit(SAMPLE).select("v").toArrow().column("v"))
     depth = max(0, min(int(np.ceil(np.log2(max(n, 1) / (0.75 * GROUP)))), int(np.log2(max(len(sample), 1) / 16 + 1))))
     trees = [_planes(sample, depth, seed) for seed in range(TREES if depth else 1)]
-    leaves = nodes.select("u", "v").mapInArrow(lambda it: _leaves(it, trees, depth), "u long, v array<double>, leaf long")
+    leaves = nodes.select("u", "v").mapInArrow(lambda it: _leaves(it, trees, depth), "u long, v binary, leaf long")
     sizes = leaves.groupBy("leaf").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
     dealt = leaves.join(F.broadcast(sizes), "leaf").withColumn("part", F.pmod(F.xxhash64("u"), F.col("parts")))  # at most TREES * 2 ** depth rows
     found = dealt.groupBy("leaf", "part").applyInArrow(lambda t: _nearest_in(t, degree), "u long, w long, d double")
-    graph = materialise(_kept(found, degree).withColumn("new", F.lit(True)), "graph")
-    for k in range(rounds):
-        forward = graph.select("u", "w", "new", "d")
-        back = smallest(forward.select(F.col("w").alias("u"), F.col("u").alias("w"), "new", "d"), ["u"], [F.desc("new"), "d", "w"], BACK)
-        near = forward.unionByName(back).groupBy("u", "w").agg(F.max("new").alias("new"))
-        known = near.join(nodes.select(F.col("u").alias("w"), "v"), "w").select("u", "w", "v", "new")
-        met = known.repartition("u").sortWithinPartitions("u", "w").mapInArrow(lambda it: _meet(it, degree), "u long, w long, d double")
-        old = graph.select("u", "w", "d", F.lit(False).alias("new"))
-        after = materialise(_kept(old.unionByName(met.withColumn("new", F.lit(True))), degree), "graph")
+    graph = materialise(_kept(found.withColumn("new", F.lit(True)), degree), "graph")
+    for _ in range(rounds):
+        back = smallest(graph.select(F.col("w").alias("u"), F.col("u").alias("w"), "new", "d"), ["u"], [F.desc("new"), "d", "w"], BACK)
+        near = graph.select("u", "w", "new").unionByName(back.select("u", "w", "new")).groupBy("u", "w").agg(F.max("new").alias("new"))
+        far = graph.groupBy("u").agg(F.when(F.count("*") >= degree, F.max("d")).otherwise(float("inf")).alias("far"))
+        told = nodes.join(far, "u", "left").select(F.col("u").alias("w"), "v", F.coalesce("far", F.lit(float("inf"))).alias("far"))
+        known = near.join(told, "w").select("u", "w", "v", "far", "new")
+        met = known.repartition("u").sortWithinPartitions("u").mapInArrow(_meet, "u long, w long, d double")
+        after = materialise(_kept(graph.select("u", "w", "d").withColumn("new", F.lit(False)).unionByName(met.withColumn("new", F.lit(True))), degree), "graph")
         moved = after.where("new").count()
         discard(graph)
         graph = after
@@ -154,16 +181,22 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) ->
 
 def _kept(edges: DataFrame, degree: int) -> DataFrame:
     """Each node's nearest `degree`, each once; an edge known before is not new."""
-    once = edges.groupBy("u", "w").agg(F.min("d").alias("d"), *([F.min("new").alias("new")] if "new" in edges.columns else []))
+    once = edges.groupBy("u", "w").agg(F.min("d").alias("d"), F.min("new").alias("new"))
     rank = F.row_number().over(Window.partitionBy("u").orderBy("d", "w"))
     return once.withColumn("_rank", rank).where(F.col("_rank") <= degree).drop("_rank")
 
 
-def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(query, node, qv, v) -> (query, node, d), d the exact distance in double precision."""
-    for batch in batches:
-        d = np.sqrt(((matrix(batch.column(2)) - matrix(batch.column(3))) ** 2).sum(1)) if batch.num_rows else np.zeros(0)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d)], names=["query", "node", "d"])
+def _approach(table: pa.Table, asked: pa.Table) -> pa.Table:
+    """One query's new nodes with about their distances."""
+    q = unpack(asked.column("qv"))
+    d = distances(q, unpack(table.column("v")))[0].astype(float) if table.num_rows and asked.num_rows else np.zeros(0)
+    return pa.table({"query": table.column("query"), "node": table.column("node"), "d": pa.array(d)}) if asked.num_rows else table.select(["query", "node"]).append_column("d", pa.nulls(0, pa.float64()))
+
+
+def _measured(table: pa.Table, asked: pa.Table) -> pa.Table:
+    """One query's candidates with their exact distances in double precision."""
+    d = np.sqrt(((matrix(table.column("v")) - matrix(asked.column("qv"))[:1]) ** 2).sum(1)) if table.num_rows else np.zeros(0)
+    return pa.table({"query": table.column("query"), "node": table.column("node"), "d": pa.array(d)})
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", beam: int = BEAM, degree: int = DEGREE) -> DataFrame:
@@ -176,18 +209,21 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     """
     integral(vectors, id_col)
     rows = materialise(usable(vectors, id_col, vec_col), "vectors")
-    classes = rows.groupBy("v").agg(F.min("id").alias("u"))
-    nodes = materialise(classes.select("u", "v"), "nodes")
-    copies = smallest(rows.join(nodes, "v").select("u", "id"), ["u"], ["id"], k + 1)
+    classes = materialise(rows.groupBy("v").agg(F.min("id").alias("u")), "classes")
+    nodes = materialise(classes.select("u", "v").mapInArrow(_rounded, "u long, v binary"), "nodes")
+    of_node = rows.join(classes, "v").select("u", "id")
+    copies = smallest(of_node, ["u"], ["id"], k + 1)
     graph = build_graph(nodes, degree)
     linked = graph.select("u", "w").unionAll(smallest(graph.select(F.col("w").alias("u"), F.col("u").alias("w"), "d"), ["u"], ["d", "w"], BACK).select("u", "w")).distinct()
     linked = materialise(linked, "links")
-    asked = queries.select(F.col(queries.columns[0]).cast("long").alias("query")).distinct()
-    asked = materialise(asked.join(rows, asked["query"] == rows["id"]).join(nodes.withColumnRenamed("v", "nv"), F.col("v") == F.col("nv")).select("query", "u", F.col("v").alias("qv")), "asked")
+    wanted = queries.select(F.col(queries.columns[0]).cast("long").alias("id")).distinct()
+    asked = materialise(wanted.join(of_node, "id").join(nodes, "u").select(F.col("id").alias("query"), "u", F.col("v").alias("qv")), "asked")
+    pair = "query long, node long, d double"
     held = materialise(asked.select("query", F.col("u").alias("node"), F.lit(0.0).alias("d"), F.lit(False).alias("seen")), "beam")
     for _ in range(STEPS):
         fresh = held.where("not seen").join(linked, F.col("node") == F.col("u")).select("query", F.col("w").alias("node")).distinct().join(held.select("query", "node"), ["query", "node"], "left_anti")
-        met = fresh.join(nodes, F.col("node") == F.col("u")).join(asked.select("query", "qv"), "query").select("query", "node", "qv", "v").mapInArrow(_measured, "query long, node long, d double")
+        fresh = fresh.join(nodes, F.col("node") == F.col("u")).select("query", "node", "v")
+        met = fresh.groupBy("query").cogroup(asked.select("query", "qv").groupBy("query")).applyInArrow(_approach, pair)
         both = held.withColumn("seen", F.lit(True)).unionByName(met.withColumn("seen", F.lit(False)))
         rank = F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))
         after = materialise(both.withColumn("_rank", rank).where(F.col("_rank") <= beam).drop("_rank"), "beam")
@@ -195,6 +231,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
         held = after
         if held.where("not seen").isEmpty():
             break
-    found = held.join(copies, F.col("node") == F.col("u")).where("id <> query").select("query", "id", "d")
+    exact = held.select("query", "node").join(classes, F.col("node") == F.col("u")).select("query", "node", "v")
+    own = asked.select("query", "u").join(classes, "u").select("query", F.col("v").alias("qv"))
+    measured = exact.groupBy("query").cogroup(own.groupBy("query")).applyInArrow(_measured, pair)
+    found = measured.join(copies, F.col("node") == F.col("u")).where("id <> query").select("query", "id", "d")
     rank = F.row_number().over(Window.partitionBy("query").orderBy("d", "id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), F.col("d").alias("score"))

@@ -17,10 +17,10 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class WordHash(dict):
-    """word (bytes) -> 64-bit number; emptied when it holds half a million words."""
+    """word (bytes) -> 64-bit number; emptied when it holds 200,000 words."""
 
     def __missing__(self, w: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         out = self[w] = xxhash.xxh64_intdigest(w)
         return out
