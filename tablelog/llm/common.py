@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BATCH_ROWS = 500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _own_dirs: dict[str, str] = {}
 _written: list[tuple[SparkSession, str]] = []
 
@@ -74,6 +76,13 @@ def integral(df: DataFrame, *names: str) -> None:
             raise TypeError(f"column {n!r} must hold integers, not {df.schema[n].dataType.simpleString()}")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand Python at most BATCH_ROWS rows at a time: long texts in batches of Spark's 10,000 rows take hundreds of MB of
+    Arrow buffers outside the heap. A smaller setting of the session stays."""
+    if int(spark.conf.get(_BATCH, "10000")) > BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def edit_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
     """df with each Arrow batch passed through the function that make() builds once a task; the columns stay as they are."""
 
@@ -82,6 +91,7 @@ def edit_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa
         for batch in batches:
             yield edit(batch)
 
+    bounded_batches(df.sparkSession)
     return df.mapInArrow(f, df.schema)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelog.llm.common import edit_batches
+from tablelog.llm.common import bounded_batches, edit_batches
 from tablelog.llm.shingles import WordHash, rolling
 
 #: Tokens of a seed and of the shortest tile, share of an item's tokens that tiles must cover, bytes of a block of items.
@@ -157,6 +157,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """
     schema = T.StructType([docs.schema[id_col], T.StructField("item_id", benchmark.schema[item_col].dataType), T.StructField("coverage", T.DoubleType()), T.StructField("n_tiles", T.LongType()), T.StructField("n_covered", T.LongType())])
     item_type = pa.schema([("x", _arrow(benchmark, item_col))]).field(0).type
+    bounded_batches(docs.sparkSession)
     base = docs.select(id_col, text_col)
     out = None
     for rows in _blocks(benchmark, item_col, item_text_col, block_bytes):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelog.llm.common import discard, integral, materialise
+from tablelog.llm.common import bounded_batches, discard, integral, materialise
 from tablelog.llm.components import components
 from tablelog.llm.shingles import WordHash, mix, set_number, shingle_set
 
@@ -37,6 +37,8 @@ PERCENT, WORDS = 75, 5
 HEAVY, LEAST = 1_000_000, 4
 #: Largest candidate group that is sifted by bitmaps; shingles of a block; shingles that a task counts at once.
 GROUP, BLOCK, COUNTED = 2048, 400_000, 1_500_000
+#: Prefix entries that a task sends at once.
+SENT = 500_000
 #: Sets of each component of a block that meet those of other blocks first.
 LEADERS = 6
 
@@ -246,14 +248,26 @@ def _facts(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordB
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], heavy: np.ndarray, counts: np.ndarray, ranges: int, words: int, percent: int) -> Iterator[pa.RecordBatch]:
-    known = WordHash()
+    known, seen = WordHash(), set()
+    keys: list[np.ndarray] = []
+    numbers: list[np.ndarray] = []
+    held = 0
+
+    def send() -> pa.RecordBatch:
+        key, number = np.concatenate(keys), np.concatenate(numbers)
+        r = ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
+        order = np.argsort(r, kind="stable")
+        key, number, r = key[order].astype(np.uint32), number[order], r[order]
+        cuts = np.flatnonzero(np.diff(r)) + 1
+        columns = [pa.array(r[np.r_[0, cuts]], pa.int32()), *(pa.array([k.tobytes() for k in np.split(x, cuts)], pa.binary()) for x in (key, number))]
+        return pa.RecordBatch.from_arrays(columns, names=["r", "keys", "sets"])
+
     for batch in batches:
-        seen, keys, numbers = set(), [], []
         for x in batch.column(0):
             a = shingle_set(x.as_py() or "", known, words)
             if not len(a) or (s := set_number(a)) in seen:
                 continue
-            seen.add(s)
+            seen.add(s)  # equal sets of a stretch of rows go once
             weight = np.zeros(len(a), np.int64)
             if len(heavy):
                 at = np.searchsorted(heavy, a)
@@ -262,16 +276,13 @@ def _prefixes(batches: Iterator[pa.RecordBatch], heavy: np.ndarray, counts: np.n
             first = a[np.lexsort((a, weight))[: prefix_length(len(a), percent)]]
             keys.append(first)
             numbers.append(np.full(len(first), s, np.int64))
-        if not keys:
-            continue
-        key, number = np.concatenate(keys), np.concatenate(numbers)
-        r = ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
-        order = np.argsort(r, kind="stable")
-        key, number, r = key[order].astype(np.uint32), number[order], r[order]
-        cuts = np.flatnonzero(np.diff(r)) + 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(r[np.r_[0, cuts]], pa.int32()), pa.array([k.tobytes() for k in np.split(key, cuts)], pa.binary()), pa.array([k.tobytes() for k in np.split(number, cuts)], pa.binary())], names=["r", "keys", "sets"]
-        )
+            held += len(first)
+            if held > SENT:
+                yield send()
+                keys, numbers, held = [], [], 0
+                seen.clear()
+    if held:
+        yield send()
 
 
 def _groups(table: pa.Table) -> pa.Table:
@@ -383,6 +394,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     """
     integral(docs, id_col)
     spark = docs.sparkSession
+    bounded_batches(spark)
     base = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     facts = materialise(base.mapInArrow(lambda it: _facts(it, words), "id long, n long, s long, map binary, h array<long>, c array<int>"), "facts")
     told = facts.where("h is not null").select(F.explode(F.arrays_zip("h", "c")).alias("x")).groupBy(F.col("x.h").alias("h")).agg(F.sum("x.c").alias("c")).where(F.col("c") >= LEAST)

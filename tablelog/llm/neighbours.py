@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tablelog.llm.common import discard, integral, materialise
 
 #: Neighbours that a node keeps, neighbours of the other direction that take part, rounds, width of a query's beam, steps.
-DEGREE, BACK, ROUNDS, BEAM, STEPS = 32, 32, 5, 96, 8
+DEGREE, BACK, ROUNDS, BEAM, STEPS = 32, 32, 8, 128, 10
 #: Trees of the start, nodes of a group, rows of the sample that the hyperplanes are fitted on.
 TREES, GROUP, SAMPLE = 3, 256, 10_000
 #: Salts that deal out one node's edges or one vector's copies before they are ranked.

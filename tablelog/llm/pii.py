@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablelog.llm.common import bounded_batches
+
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 LOCAL_RUN = re.compile(r"[A-Za-z0-9._%+-]+$")
@@ -332,6 +334,7 @@ def find_pii(docs: DataFrame, weights: dict[tuple[str, int], float] | None = Non
                 clean.append(redact(text, found))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind), pa.array(clean, pa.string())], names=schema.names)
 
+    bounded_batches(docs.sparkSession)
     return docs.select(id_col, text_col).mapInArrow(f, schema)
 
 

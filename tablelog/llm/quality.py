@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelog.llm.common import edit_batches
+from tablelog.llm.common import bounded_batches, edit_batches
 
 #: Random features, ridge penalty, kernel width (in standard deviations), bins of the calibration.
 D, RIDGE, WIDTH, SCORE_BINS = 256, 1.0, 3.0, 1000
@@ -134,6 +134,7 @@ def _with_statistics(df: DataFrame, text_at: int, kept: list[T.StructField]) ->
             stats = [statistics(x.as_py() or "") for x in batch.column(text_at)]
             yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(batch.columns) if i != text_at), pa.array(stats, pa.list_(pa.float64()))], names=schema.names)
 
+    bounded_batches(df.sparkSession)
     return df.mapInArrow(f, schema)
 
 
@@ -192,6 +193,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             p = model.score(x)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32))], names=schema.names)
 
+    bounded_batches(docs.sparkSession)
     return docs.select(id_col, text_col).mapInArrow(f, schema)
 
 

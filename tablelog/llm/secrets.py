@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelog.llm.common import edit_batches
+from tablelog.llm.common import bounded_batches, edit_batches
 
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = re.compile(r"""(?ai:(?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -179,6 +179,7 @@ def find_secrets(docs: DataFrame, samples: Iterable[tuple[str, int]] | None = No
                 clean.append(redact(text, found))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind), pa.array(clean, pa.string())], names=schema.names)
 
+    bounded_batches(docs.sparkSession)
     return docs.select(id_col, text_col).mapInArrow(f, schema)
 
 

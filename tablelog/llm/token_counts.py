@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tablelog.llm.common import bounded_batches
+
 # The published byte-level pre-token pattern.
 PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Entries of the memo, and the longest pre-token (characters) that it keeps. The counts do not depend on either.
@@ -139,4 +141,5 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
             columns = [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array([n > max_tokens for n in n_tokens], pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
+    bounded_batches(docs.sparkSession)
     return docs.select(id_col, text_col).mapInArrow(count, schema)

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablelog.llm.common import bounded_batches
+
 #: Hash buckets of the inputs.
 BUCKETS = 1 << 20
 #: Bounds of the training sample: rows, and distinct inputs of one text (a longer text gives a hash sample of its inputs).
@@ -141,6 +143,7 @@ def _inputs_of(df: DataFrame) -> DataFrame:
                 rows.append(r if len(r) <= MAX_INPUTS else sorted(r, key=lambda k: (k * 2654435761) % (1 << 32))[:MAX_INPUTS])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], names=schema.names)
 
+    bounded_batches(df.sparkSession)
     return df.mapInArrow(f, schema)
 
 
@@ -179,4 +182,5 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             p = [model.score(distinct_inputs(x.as_py() or "", known)) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64()), pa.array([int(x >= threshold) for x in p], pa.int32())], names=schema.names)
 
+    bounded_batches(docs.sparkSession)
     return docs.select(id_col, text_col).mapInArrow(f, schema)
