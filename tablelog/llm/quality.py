@@ -154,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         rng = np.random.default_rng(seed)
         w, b = rng.normal(size=(STATISTICS, D)) / (WIDTH * np.sqrt(STATISTICS / 10)), rng.uniform(0, 2 * np.pi, D)
         if not len(first):
-            return Model(np.zeros(STATISTICS), np.ones(STATISTICS), w, b, np.zeros(D + 1), np.array([0.0]), np.array([0.5]))
+            return Model(np.zeros(STATISTICS), np.ones(STATISTICS), w, b, np.append(np.zeros(D), 0.5), np.array([0.0]), np.array([0.5]))
         n = first[2, 0]
         mean = first[0] / n
         scale = np.sqrt(np.maximum(first[1] / n - mean**2, 0)) + 1e-3

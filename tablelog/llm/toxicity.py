@@ -29,6 +29,8 @@ BUCKETS = 1 << 20
 MAX_POSITIVE, MAX_UNLABELLED, MAX_INPUTS = 3000, 9000, 4096
 #: Inputs that the model keeps: those that tell positives from unlabelled text best.
 FEATURES = 300
+#: Information (nats) that an input must carry: about what the best of some thousand inputs without meaning reach by chance.
+LEAST_GAIN = 8.0
 #: The score of the median unlabelled text.
 CLEAR = 0.002
 WORD = re.compile(r"[^\W\d_]+")
@@ -83,7 +85,7 @@ def select_inputs(p: list[np.ndarray], u: list[np.ndarray], keep: int) -> np.nda
     gain = len(p) * (pa_ * np.log(pa_ / m) + (1 - pa_) * np.log((1 - pa_) / (1 - m))) + len(u) * (pb * np.log(pb / m) + (1 - pb) * np.log((1 - pb) / (1 - m)))
     gain[a < 2] = 0  # in one positive only: chance
     order = np.argsort(-gain, kind="stable")[:keep]
-    return np.sort(order[gain[order] > 0])
+    return np.sort(order[gain[order] > LEAST_GAIN])
 
 
 def matrix(rows: list[np.ndarray], kept: np.ndarray) -> np.ndarray:
@@ -95,7 +97,7 @@ def matrix(rows: list[np.ndarray], kept: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, keep: int = FEATURES, epochs: int = 60, batch: int = 1000, rate: float = 0.02, decay: float = 1e-4, seed: int = 7) -> Model:
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, keep: int = FEATURES, epochs: int = 60, batch: int = 1000, rate: float = 0.03, decay: float = 1e-4, seed: int = 7) -> Model:
     """Fit by Adam on the non-negative risk with the logistic loss. Without positives every score is near 0."""
     if not positive or not unlabelled:
         return Model({}, -4.0)
@@ -123,9 +125,12 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             d = rate * (1 - epoch / epochs) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
             w, b = w - d[:-1], b - d[-1]
-    # The prior says what share of the unlabelled text is toxic: the score is 0.5 at that quantile, CLEAR at their median.
+    # The prior says what share of the unlabelled text is toxic: the score is 0.5 at that quantile (but between a quarter of
+    # the way from the unlabelled texts' median to the positives', and half of it), CLEAR at the unlabelled texts' median.
     z = xu @ w + b
-    centre, middle = np.quantile(z, 1 - prior), np.median(z)
+    middle = np.median(z)
+    way = max(np.median(xp @ w + b) - middle, 1e-3)
+    centre = float(np.clip(np.quantile(z, 1 - prior), middle + way / 4, middle + way / 2))
     slope = -np.log(CLEAR / (1 - CLEAR)) / max(centre - middle, 1e-6)
     return Model({int(k): float(x) for k, x in zip(kept, w, strict=True)}, float(b), float(centre), float(min(slope, 50)))
 
