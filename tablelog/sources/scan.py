@@ -8,7 +8,7 @@ from collections.abc import Callable
 from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -168,7 +168,7 @@ class Scan:
                 ok = nulls[f.name] < s["numRecords"]
             else:
                 ok = {"=": lambda: (a <= v) & (b >= v), "<": lambda: a < v, "<=": lambda: a <= v, ">": lambda: b > v, ">=": lambda: b >= v}[op]()
-                ok = ok | F.when(nulls[f.name] == s["numRecords"], F.lit(False))  # all null: nothing compares
+                ok = F.when(nulls[f.name] == s["numRecords"], F.lit(False)).otherwise(ok)  # all null: nothing compares
             files = files.where(F.coalesce(ok, F.lit(True)))
         if self.stats_filter is not None:
             files = files.where(F.coalesce(self.stats_filter(low, high), F.lit(True)))
@@ -212,6 +212,17 @@ def partition_folder(values: dict[str, str | None], columns: tuple[str, ...] | l
     return "/".join(f"{folder_name(c)}={'__HIVE_DEFAULT_PARTITION__' if values[c] is None else folder_name(values[c])}" for c in columns)
 
 
+def parquet_files(spark: SparkSession, schema: T.StructType, paths: list[str], base: str | None = None) -> DataFrame:
+    """The rows of Parquet files by their exact paths. Names with glob characters are read apart, unglobbed: given together,
+    Spark would read the other files twice."""
+    reader = spark.read.schema(schema)
+    reader = reader.option("basePath", base) if base else reader
+    odd = [p for p in paths if any(c in p for c in "{}[]*?\\")]
+    plain = [p for p in paths if p not in set(odd)]
+    parts = ([reader.parquet(*plain)] if plain else []) + ([reader.option("__globPaths__", "false").parquet(*odd)] if odd else [])
+    return parts[0].select("*", "_metadata") if len(parts) == 1 else parts[0].select("*", "_metadata").unionAll(parts[1].select("*", "_metadata"))
+
+
 def read_files(snapshot: Snapshot, inventory: DataFrame) -> DataFrame:
     """Rows of an inventory's files in the table's column order, partition values from the log.
 
@@ -228,7 +239,7 @@ def read_files(snapshot: Snapshot, inventory: DataFrame) -> DataFrame:
     data_schema = T.StructType([T.StructField(logical[f.name], f.dataType, True) for f in meta.data_schema.fields])
     paths = [snapshot.data_path(r.path) for r in listed]
     if not columns:
-        rows = spark.read.schema(data_schema).option("__globPaths__", "false").parquet(*paths)
+        rows = parquet_files(spark, data_schema, paths)
         return rows.select(*(F.col(f"`{logical[f.name]}`").alias(f.name) for f in meta.schema.fields))
     stored = [logical[c] for c in columns]
     values = [{c: (r.partitionValues or {}).get(s, (r.partitionValues or {}).get(c)) for c, s in zip(columns, stored, strict=True)} for r in listed]
@@ -236,11 +247,11 @@ def read_files(snapshot: Snapshot, inventory: DataFrame) -> DataFrame:
     plain = all(not any(isinstance(meta.schema[c].dataType, k) for k in (T.BinaryType, T.TimestampType)) for c in columns) and stored == list(columns)
     if plain and all("" not in v.values() and p.startswith(f"{root}/") and p[len(root) + 1 :].rsplit("/", 1)[0] == partition_folder(v, columns) for p, v in zip(paths, values, strict=True)):
         whole = T.StructType([*data_schema.fields, *(T.StructField(c, meta.schema[c].dataType) for c in columns)])
-        rows = spark.read.schema(whole).option("basePath", root).option("__globPaths__", "false").parquet(*paths)
+        rows = parquet_files(spark, whole, paths, root)
         return rows.select(*(F.col(f"`{logical[f.name]}`").alias(f.name) for f in meta.schema.fields))
     named = spark.createDataFrame([(p if "://" in p else f"file:{p}", [v[c] for c in columns]) for p, v in zip(paths, values, strict=True)], "_file string, _values array<string>")
     size = sum(len(p) + 16 + sum(len(x or "") for x in v.values()) for p, v in zip(paths, values, strict=True))
-    rows = spark.read.schema(data_schema).option("__globPaths__", "false").parquet(*paths).withColumn("_file", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+    rows = parquet_files(spark, data_schema, paths).withColumn("_file", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
     joined = rows.join(F.broadcast(named) if size <= BROADCAST_BYTES else named, "_file", "left")
 
     def value(c: str) -> Column:
