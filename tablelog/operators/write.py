@@ -47,8 +47,8 @@ def write_files(table: Table, df: DataFrame, partition_columns: Iterable[str], d
     """Write df as Parquet below the table and return the files. Spark's writer lays them out in a folder of their own; then
     each moves to its partition's folder. Nothing is visible before a commit names it."""
     columns, spark = list(partition_columns), df.sparkSession
-    # a path with a leading dot or underscore is not listed by readers of folders
-    own = f"{table.root}/_writing-{uuid.uuid4().hex}"
+    # readers of folders don't look below a name with a leading underscore
+    own = f"{table.root}/_staging/{uuid.uuid4().hex}"
     for c in columns:  # an empty string reads back as null from a folder: the log says null as well
         if isinstance(df.schema[c].dataType, T.StringType):
             df = df.withColumn(c, F.when(F.col(f"`{c}`") != "", F.col(f"`{c}`")))

@@ -34,6 +34,16 @@ FILE_SCHEMA = T.StructType(
 )
 
 
+def file_rows(spark: SparkSession, files: Iterable[AddFile]) -> DataFrame:
+    """Files as rows of FILE_SCHEMA, handed over as Arrow: a local relation, no job to read it."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    target, files = to_arrow_schema(FILE_SCHEMA), list(files)
+    values = [[a.path for a in files], [list((a.partitionValues or {}).items()) for a in files], [a.size for a in files], [a.modificationTime for a in files], [a.stats for a in files], [None if a.tags is None else list(a.tags.items()) for a in files]]
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip(values, target, strict=True)], schema=target), FILE_SCHEMA)
+
+
 def path_key(path: str, root: str) -> str:
     """One name for all spellings of a data file's path."""
     return relative_to(root, canonical(path)) if is_absolute(path) else path
@@ -98,7 +108,7 @@ class Snapshot:
     def replay(self) -> Replay:
         out = Replay(self.root)
         if self.segment.checkpoint:
-            for r in self._checkpoint().toLocalIterator():
+            for r in self._checkpoint().collect():  # DRIVER_BYTES at most
                 for key in ("metaData", "protocol", "txn", "add", "remove"):
                     if key in r and r[key] is not None:
                         out.add(from_body(key, r[key].asDict(recursive=True)))
@@ -175,8 +185,7 @@ class Snapshot:
         if self.version < 0:
             return self.spark.createDataFrame([], FILE_SCHEMA)
         if self.small:
-            rows = [(a.path, a.partitionValues, a.size, a.modificationTime, a.stats, a.tags) for a in self.replay.files.values()]
-            return self.spark.createDataFrame(rows, FILE_SCHEMA)
+            return file_rows(self.spark, self.replay.files.values())
         return self._latest().where("add is not null").select("path", *(f"add.{c}" for c in FILE_SCHEMA.fieldNames()[1:]))
 
     def _latest(self) -> DataFrame:

@@ -18,6 +18,7 @@ from tablelog.operators import write
 from tablelog.operators.catalog import Catalog
 from tablelog.plans import expr as E
 from tablelog.plans.actions import SetTransaction
+from tablelog.sources.store import local
 from tablelog.sources.table import Table, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,15 +27,25 @@ _S, _D, _TS = T.StringType(), T.DoubleType(), T.TimestampType()
 
 
 def _folder(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir, or a local one where that is unset; it goes when the program ends."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}"
-    own = tempfile.mkdtemp(prefix="tablelog-tables-")
-    pid = os.getpid()
-    atexit.register(lambda: os.getpid() == pid and shutil.rmtree(own, ignore_errors=True))
+    own = f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="tablelog-tables-")
+    atexit.register(_remove, spark, own, os.getpid())
     return own
 
 
+def _remove(spark: SparkSession, path: str, pid: int) -> None:
+    if os.getpid() != pid:
+        return
+    if local(path).startswith("/"):
+        shutil.rmtree(local(path), ignore_errors=True)
+        return
+    try:
+        write.drop_folder(spark, path)
+    except Exception:  # noqa: BLE001  the JVM may be gone at exit
+        return
+
+
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from tablelog.errors import FieldTypeMismatch, NullInPrimitive, NullInRequiredField, PartitioningMismatch, SchemaError
 from tablelog.plans import expr
-from tablelog.plans.snapshot import Snapshot
+from tablelog.plans.actions import AddFile
+from tablelog.plans.snapshot import Snapshot, file_rows
 
 #: Bytes of an inventory (its paths and values) that may be broadcast to inject partition values; beyond it the join shuffles.
 BROADCAST_BYTES = 32 << 20
@@ -118,10 +119,13 @@ class Scan:
 
     @cached_property
     def matching(self) -> DataFrame:
-        """The inventory under the pushed part: each distinct partition is looked at once, then files are picked."""
-        files, columns = self.snapshot.inventory, self.snapshot.metadata.partitionColumns
+        """The inventory under the pushed part: each distinct partition is looked at once, then files are picked. Files that the
+        driver holds anyway are picked there."""
+        columns = self.snapshot.metadata.partitionColumns
+        here = self.snapshot.small and self.pushed is not None and bool(columns)
+        files = file_rows(self.snapshot.spark, self._picked()) if here else self.snapshot.inventory
         tests = []
-        if self.pushed is not None:
+        if self.pushed is not None and not here:
             tests.append(self.pushed.column(self._partition, strict=True))
         if self.partition_filter is not None:
             tests.append(self.partition_filter(self._partition))
@@ -138,6 +142,17 @@ class Scan:
             files = self._skipped(files)
         return files
 
+    def _picked(self) -> list[AddFile]:
+        """Files whose partition passes; a partition's answer is kept for all its files. Null counts as no."""
+        schema, seen, out = self.snapshot.metadata.partition_schema, {}, []
+        for f in self.snapshot.files():
+            key = tuple(f.partitionValues.get(c) for c in schema.fieldNames())
+            if key not in seen:
+                seen[key] = self.pushed.eval(PartitionRecord(f.partitionValues, schema)) is True
+            if seen[key]:
+                out.append(f)
+        return out
+
     def _skipped(self, files: DataFrame) -> DataFrame:
         """Without files whose statistics rule the residual (or the given filter) out; files without statistics stay."""
         schema = self.snapshot.metadata.data_schema
@@ -174,9 +189,10 @@ class Scan:
             files = files.where(F.coalesce(self.stats_filter(low, high), F.lit(True)))
         return files
 
-    def files(self) -> list:
-        from tablelog.plans.actions import AddFile
-
+    def files(self) -> list[AddFile]:
+        """The matching files."""
+        if self.snapshot.small and self.partition_filter is None and self.stats_filter is None and (not self.skip or not expr.bounds(self.residual)):
+            return self.snapshot.files() if self.pushed is None else self._picked()
         return [AddFile(r.path, r.partitionValues or {}, r["size"], r.modificationTime, False, r.stats, r.tags) for r in self.matching.toLocalIterator()]
 
     def rows(self, columns: list[str] | None = None, strict: bool = True) -> DataFrame:

@@ -142,7 +142,7 @@ def test_writes(spark, path):
     assert t.count() == 2 and not any(a.dataChange for x in t.changes(v) for a in x.actions if isinstance(a, (AddFile, RemoveFile)))
     write.overwrite(t, d.withColumn("z", F.lit(5)).limit(1))
     assert t.count() == 1 and t.to_df(t.version_as_of(1)).count() == 4
-    assert not [f for f in os.listdir(path) if f.startswith("_writing")]
+    assert os.listdir(f"{path}/_staging") == []
 
 
 def test_convert(spark, tmp_path):
