@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -55,12 +57,17 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 @atexit.register
-def _clean() -> None:
+def _clean(pid: int = os.getpid()) -> None:
+    if os.getpid() != pid:  # a forked worker
+        return
     for spark, path in _written:
+        plain = path.removeprefix("file://").removeprefix("file:")
         try:
-            _delete(spark, path)
+            shutil.rmtree(plain, ignore_errors=True) if plain.startswith("/") else _delete(spark, path)
         except Exception:  # noqa: BLE001  the JVM may be gone at exit
             return
+    for path in _own_dirs.values():
+        shutil.rmtree(path, ignore_errors=True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
