@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from tablelog.errors import ReservedProperty, UnknownProperty
 from tablelog.functions.intervals import interval_ms
 
+# Fixed value: the prefix of session settings.
 DEFAULTS_PREFIX = "spark.databricks.delta.properties.defaults."
 
 

@@ -453,6 +453,64 @@ def data_source_read(spark, d):
     return spark.read.format(NAME).load(_orders(spark, d).root).where(F.col("o_orderstatus").isin("F", "P")).select("o_orderkey", "o_orderstatus")
 
 
+@query("select range::bigint as version, 'WRITE' as operation, true as is_blind_append from range(4)")
+def history_operations(spark, d):
+    return _versions(spark, d).history().select("version", "operation", "is_blind_append")
+
+
+@query("select distinct o_orderstatus from orders where o_orderstatus = 'P'")
+def tombstones(spark, d):
+    delete_partition(spark, d)
+    t = made(spark, d, "deleted", lambda _: None)
+    return t.update().removed().select(F.regexp_extract("path", "o_orderstatus=([^/]+)/", 1).alias("o_orderstatus")).distinct()
+
+
+@query("select c_custkey % 4 as _commit_version, count(*) as num_records from customer where c_custkey % 4 >= 1 group by 1")
+def change_actions(spark, d):
+    added = _versions(spark, d).change_actions(1).where("add is not null")
+    return added.groupBy("_commit_version").agg(F.sum(F.from_json("add.stats", "numRecords long").numRecords).alias("num_records"))
+
+
+@query("select p_partkey as part_key, p_name as name from part where p_size < 10")
+def column_mapping(spark, d):
+    """Files whose columns have other names than the table's."""
+
+    def build(t: Table) -> None:
+        source(spark, d, "part").where("p_size < 10").select(F.col("p_partkey").alias("col-1"), F.col("p_name").alias("col-2")).write.parquet(t.root)
+        schema = T.StructType([T.StructField("part_key", T.LongType(), True, {"delta.columnMapping.physicalName": "col-1"}), T.StructField("name", _S, True, {"delta.columnMapping.physicalName": "col-2"})])
+        write.convert_parquet(spark, t.root, schema)
+
+    return made(spark, d, "mapped", build).to_df()
+
+
+@query("select o_orderkey, o_orderstatus from orders where o_orderstatus = 'O' and o_totalprice > 100000")
+def external_view(spark, d):
+    """A read-only view with a declared schema, its names in other case."""
+    t, c = _orders(spark, d), Catalog(spark)
+    c.create_external_view("tl_orders", t.root, T.StructType([T.StructField(f.name.upper(), f.dataType) for f in t.update().schema.fields]))
+    return c.sql("select o_orderkey, o_orderstatus from tl_orders where o_orderstatus = 'O' and o_totalprice > 100000")
+
+
+@query("select n_nationkey, n_name from nation where n_regionkey <> 2")
+def optimistic_commits(spark, d):
+    """Two transactions from one version: the append goes through, the overwrite of what changed meanwhile is refused."""
+    from tablelog.errors import ConcurrentAppend
+
+    def build(t: Table) -> None:
+        n = source(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
+        write.append(t, n.where("n_regionkey < 2"))
+        late = t.start()
+        late.read_whole_table()
+        write.append(t, n.where("n_regionkey > 2"))
+        try:
+            late.commit([f.remove() for f in late.snapshot.files()] + write.write_files(t, n.limit(1), []), "WRITE")
+        except ConcurrentAppend:
+            return
+        raise AssertionError("the late overwrite went through")
+
+    return made(spark, d, "optimistic", build).to_df(columns=["n_nationkey", "n_name"])
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     return pushed_plus_residual(spark, d)
 

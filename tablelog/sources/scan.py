@@ -198,8 +198,8 @@ class Scan:
     def rows(self, columns: list[str] | None = None, strict: bool = True) -> DataFrame:
         """The rows of the matching files under the whole predicate."""
         out = read_files(self.snapshot, self.matching)
-        if self.predicate is not None:
-            out = out.where(self.predicate.column(lambda n: F.col(f"`{self._named(n).name}`"), strict))
+        for c in expr.conjuncts(self.predicate):  # one filter each: a null drops the row as a false would, and Parquet gets to see it
+            out = out.where(c.column(lambda n: F.col(f"`{self._named(n).name}`"), strict))
         return project(out, columns)
 
 

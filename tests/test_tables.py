@@ -57,6 +57,14 @@ def test_projection(city):
     assert "name" not in plan.split("ReadSchema")[1]
 
 
+def test_filters_reach_the_files(city):
+    p = E.And(E.EqualTo(E.Column("city", T.StringType()), E.Literal.of("hz")), E.GreaterThan(E.Column("cnt", T.LongType()), E.Literal.of(3, T.LongType())))
+    rows_ = city.scan(p).rows(["name"])
+    plan = rows_._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(cnt,3)" in plan and "PartitionFilters" in plan and rows(rows_) == [("Jone",)]
+    assert plan.split("ReadSchema")[1].split("\n")[0].count(":") <= 4  # name and cnt
+
+
 def test_special_partition_values(spark, path):
     t = Table.for_path(spark, path)
     d = spark.createDataFrame([(1, "a+ =%b"), (2, None), (3, "x/y"), (4, "é{*}?"), (5, "bar+%21"), (6, "")], "id int, p string")
