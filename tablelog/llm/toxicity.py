@@ -17,6 +17,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -167,9 +168,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # both sides are bounded by their limits: at most max_positive and max_unlabelled ids are broadcast
     sample = base.join(F.broadcast(positive), "_id", "left_semi").select(F.lit(True), "_text").unionAll(base.join(F.broadcast(others), "_id", "left_semi").select(F.lit(False), "_text"))
     got: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
-    for r in sorted(_inputs_of(sample).collect()):
-        if len(got[r[0]]) < (max_positive if r[0] else max_unlabelled):  # repeated ids may give more rows
-            got[r[0]].append(np.array(r[1], np.int64))
+    rows = []
+    for batch in _inputs_of(sample).toArrow().to_batches():  # stays packed: Python lists would take ten times the memory
+        flat, cuts = batch.column(1).flatten().to_numpy(), np.cumsum([0, *pc.list_value_length(batch.column(1)).to_pylist()])
+        rows += [(p, flat[a:b]) for p, a, b in zip(batch.column(0).to_pylist(), cuts, cuts[1:], strict=False)]
+    for is_positive, inputs in sorted(rows, key=lambda r: (r[0], r[1].tobytes())):
+        if len(got[is_positive]) < (max_positive if is_positive else max_unlabelled):  # repeated ids may give more rows
+            got[is_positive].append(inputs)
     return train(got[1], got[0], prior)
 
 
