@@ -15,10 +15,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 
 from tablelog.errors import DataLoss, StreamError
 from tablelog.functions.options import source_options
-from tablelog.functions.properties import validated  # noqa: F401  re-exported for users of the source
 from tablelog.plans import segment
 from tablelog.plans.actions import Action, AddFile, Metadata, Protocol, RemoveFile, parse_line
 from tablelog.plans.snapshot import Replay, path_key
+from tablelog.shipping import ship
 from tablelog.sources.scan import decode
 from tablelog.sources.store import LocalStore, LogStore, decoded, is_absolute, local
 
@@ -273,6 +273,7 @@ def _selected(schema: T.StructType, columns: list[str] | None) -> T.StructType:
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(TableSource)
 
