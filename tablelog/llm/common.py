@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablelog.shipping import ship
+
 BATCH_ROWS = 500
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _own_dirs: dict[str, str] = {}
@@ -35,6 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
@@ -85,7 +88,8 @@ def integral(df: DataFrame, *names: str) -> None:
 
 def bounded_batches(spark: SparkSession) -> None:
     """Hand Python at most BATCH_ROWS rows at a time: long texts in batches of Spark's 10,000 rows take hundreds of MB of
-    Arrow buffers outside the heap. A smaller setting of the session stays."""
+    Arrow buffers outside the heap. A smaller setting of the session stays. The workers also get this package."""
+    ship(spark)
     if int(spark.conf.get(_BATCH, "10000")) > BATCH_ROWS:
         spark.conf.set(_BATCH, str(BATCH_ROWS))
 
