@@ -7,7 +7,7 @@ version that was read. Spark's offset log is the only state. Files are read wher
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -23,15 +23,24 @@ from tablelog.sources.scan import decode
 from tablelog.sources.store import LocalStore, LogStore, decoded, is_absolute, local
 
 NAME = "tablelog"
-#: Files of one step of the initial snapshot.
-FILES_PER_STEP = 1000
+#: Bytes of a file that one task reads; a larger file is dealt out by row groups.
+PART_BYTES = 128 << 20
 
 
 class FilePart(InputPartition):
-    """One data file: its place, and the values of its partition."""
+    """A data file or a share of its row groups: its place, the values of its partition, which of how many shares."""
 
-    def __init__(self, path: str, values: dict[str, str | None]) -> None:
-        self.path, self.values = path, values
+    def __init__(self, path: str, values: dict[str, str | None], share: int = 0, shares: int = 1) -> None:
+        self.path, self.values, self.share, self.shares = path, values, share, shares
+
+
+def parts_of(log: _Log, added: Iterable[AddFile]) -> list[FilePart]:
+    """One part a file, or several of a large one."""
+    out = []
+    for a in added:
+        shares = max(1, -(-a.size // PART_BYTES))
+        out += [FilePart(log.place(path_key(a.path, log.root)), a.partitionValues, k, shares) for k in range(shares)]
+    return out
 
 
 def added_files(actions: list[Action], ignore_changes: bool, ignore_deletes: bool, pinned: T.StructType | None = None, strict: bool = False, partition_columns: tuple[str, ...] = (), version: int = -1) -> list[AddFile]:
@@ -117,7 +126,8 @@ def read_part(part: FilePart, schema: T.StructType, partition_columns: tuple[str
     target = to_arrow_schema(schema)
     f = pq.ParquetFile(part.path)
     there = {n: n for n in f.schema_arrow.names}
-    for batch in f.iter_batches(columns=[n for n in target.names if n in there and n not in partition_columns] or None):
+    groups = [g for g in range(f.num_row_groups) if g % part.shares == part.share]
+    for batch in f.iter_batches(row_groups=groups, columns=[n for n in target.names if n in there and n not in partition_columns] or None):
         columns = []
         for field, kind in zip(target, schema.fields, strict=True):
             if field.name in partition_columns:
@@ -159,14 +169,14 @@ class TableStreamReader(DataSourceStreamReader):
         out = []
         if start["initial"]:
             _, state = log.replay(start["version"])
-            out += [FilePart(log.place(a.path), a.partitionValues) for a in sorted(state.files.values(), key=lambda a: a.path)]
+            out += parts_of(log, sorted(state.files.values(), key=lambda a: a.path))
         for v in range(first, end["version"] + 1):
             try:
                 actions = log.actions(v)
             except FileNotFoundError:
                 raise DataLoss(f"version {v} is gone from the log") from None
             strict = o.get("strictActions", False)
-            out += [FilePart(log.place(path_key(a.path, log.root)), a.partitionValues) for a in added_files(actions, o["ignoreChanges"], o["ignoreDeletes"], None if v == 0 else self._whole(log), strict, self.partition_columns, v)]
+            out += parts_of(log, added_files(actions, o["ignoreChanges"], o["ignoreDeletes"], None if v == 0 else self._whole(log), strict, self.partition_columns, v))
         self._start = end["version"]
         return out
 
@@ -218,7 +228,7 @@ class TableBatchReader(DataSourceReader):
     def partitions(self) -> list[FilePart]:
         log = _Log(self.path)
         _, state = log.replay(self.version)
-        return [FilePart(log.place(a.path), a.partitionValues) for a in state.files.values() if self._keeps(a.partitionValues)]
+        return parts_of(log, (a for a in state.files.values() if self._keeps(a.partitionValues)))
 
     def read(self, partition: FilePart) -> Iterator:
         return read_part(partition, self.schema, self.partition_columns)

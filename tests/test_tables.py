@@ -324,6 +324,16 @@ def test_stream_refuses_changes(spark, path, tmp_path):
         drain(spark, path, str(tmp_path / "o"), str(tmp_path / "c"), startingVersion=0)
 
 
+def test_large_files_are_dealt_out(spark, path):
+    write.append(Table.for_path(spark, path), spark.range(50_000).coalesce(1), stats=False)
+    file = Table.for_path(spark, path).update().files()[0]
+    log = source._Log(path)
+    parts = source.parts_of(log, [file.same(size=3 * source.PART_BYTES - 1), file])
+    assert [(p.share, p.shares) for p in parts] == [(0, 3), (1, 3), (2, 3), (0, 1)]
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    assert sum(b.num_rows for p in parts[:3] for b in source.read_part(p, schema, ())) == 50_000
+
+
 def test_data_source(spark, city):
     source.register(spark)
     df = spark.read.format("tablelog").load(city.root).where("city = 'hz' and cnt > 3")
