@@ -30,8 +30,10 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]")
-#: Most tokens of an entity, of a stretch decoded at once, and most characters of a token in an entity.
+#: Most tokens of an entity, characters of a stretch decoded at once, and most characters of a token in an entity.
 MAX_TOKENS, STRETCH, MAX_CHARS = 14, 4000, 64
+#: Characters of the longest entity: where a line is too long for one stretch, both sides see this much beyond the border.
+LONGEST = MAX_TOKENS * (MAX_CHARS + 2)
 TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\S")
 #: A stretch worth decoding: a run of seven or more digits with separators, or an address written around a word.
 CUE = re.compile(r"[(]?[0-9](?:[ ().\-]{0,2}[0-9]){6,}|(?:@|[\[(] ?at ?[\])]| at (?=[A-Za-z0-9-]+ (?:dot|\[dot|\(dot)))", re.I)
@@ -278,8 +280,12 @@ def trained() -> dict[tuple[str, int], float]:
     return {k: v for k, v in Field().train(labelled_sentences()).w.items() if abs(v) > 1e-3}
 
 
-def stretches(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Parts of text, whole lines or STRETCH characters around a cue, where a cue lies outside the base spans."""
+def stretches(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """(start, end, first, last): parts of text around cues that lie outside the base spans, each within a line.
+
+    A stretch answers for the entities that start from first up to last. Beyond STRETCH characters another one begins; both
+    reach LONGEST characters over the border between them, so an entity there lies whole in the one that answers for it.
+    """
     out: list[list[int]] = []
     covered = sorted((a, b) for _, a, b in base)
     k = 0
@@ -292,9 +298,14 @@ def stretches(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
         a, b = max(a, text.rfind("\n", a, m.start()) + 1), b if (e := text.find("\n", m.end(), b)) < 0 else e
         if out and a <= out[-1][1] and b - out[-1][0] <= STRETCH:
             out[-1][1] = max(b, out[-1][1])
+        elif out and a <= out[-1][1]:
+            c, d = max(0, m.start() - LONGEST), min(len(text), m.start() + LONGEST)
+            out[-1][1] = max(out[-1][1], d if (e := text.find("\n", m.start(), d)) < 0 else e)
+            out.append([max(c, text.rfind("\n", c, m.start()) + 1), b, m.start()])
         else:
-            out.append([max(a, out[-1][1]) if out else a, b])
-    return [(a, b) for a, b in out if a < b]
+            out.append([a, b, a])
+    lasts = [*(x[2] for x in out), len(text)][1:]
+    return [(a, b, first, last) for (a, b, first), last in zip(out, lasts, strict=True) if a < b]
 
 
 def scan(text: str, field: Field) -> list[tuple[int, int, int, bool]]:
@@ -302,11 +313,14 @@ def scan(text: str, field: Field) -> list[tuple[int, int, int, bool]]:
     base = base_spans(text)
     out = [(k, a, b, True) for k, a, b in base]
     taken = sorted((a, b) for _, a, b in base)
-    for a, b in stretches(text, base):
+    over = 0
+    for a, b, first, last in stretches(text, base):
         piece = text[a:b]
         for kind, c, d in field.decode(piece, [m.span() for m in TOKEN.finditer(piece)]):
-            if all(d + a <= x or c + a >= y for x, y in taken):
-                out.append((kind, c + a, d + a, False))
+            if first <= c + a < last and c + a >= over:
+                over = d + a
+                if all(d + a <= x or c + a >= y for x, y in taken):
+                    out.append((kind, c + a, d + a, False))
     return sorted(out)
 
 
