@@ -1,10 +1,11 @@
 """Approximate nearest neighbours: NN-descent builds a graph by Spark joins, queries walk it greedily.
 
-Equal vectors are one node. The graph starts from groups of near vectors (random hyperplanes, fitted on a bounded sample,
-groups cut to at most GROUP nodes): each node's nearest in its group are its first neighbours. Then rounds of NN-descent: a
-node's neighbours, of both directions, meet each other, and every node keeps the nearest it has met. A query starts at its own
-node or at entry points and in each step looks at the neighbours of all nodes of its beam it hasn't looked at yet. What is
-returned is ranked by exact distances in double precision.
+Equal vectors are one node. The graph starts from groups of near vectors (random hyperplanes, fitted on a sample whose size
+follows the depth; leaves are split on by planes of their own until a group has at most GROUP nodes): each node's nearest in its
+group are its first neighbours. Then rounds of NN-descent, until few neighbours change: a node's neighbours, of both directions,
+meet each other, and every node keeps the nearest it has met. A query starts at its own node and in each step looks at the
+neighbours of all nodes of its beam it hasn't looked at yet, until there are none; the beam widens with the number of nodes.
+What is returned is ranked by exact distances in double precision.
 
 Graph and walk use vectors rounded to a byte a component, with a scale of their own: they only choose whom to measure. A pair
 is passed on only if it is nearer than the farthest neighbour that one of the two keeps, so late rounds move little.
@@ -21,10 +22,12 @@ from pyspark.sql import functions as F
 
 from tablelog.llm.common import discard, integral, materialise
 
-#: Neighbours that a node keeps, neighbours of the other direction that take part, rounds, width of a query's beam, steps.
-DEGREE, BACK, ROUNDS, BEAM, STEPS = 32, 32, 8, 128, 10
-#: Trees of the start, nodes of a group, rows of the sample that the hyperplanes are fitted on.
-TREES, GROUP, SAMPLE = 3, 256, 10_000
+#: Neighbours that a node keeps, neighbours of the other direction that take part, width of a query's beam up to BEAM_NODES nodes.
+DEGREE, BACK, BEAM, BEAM_NODES = 32, 32, 128, 10_000
+#: Trees of the start, nodes of a group, least rows of the sample that the hyperplanes are fitted on, nodes of a leaf that a worker splits on.
+TREES, GROUP, SAMPLE, LEAF = 3, 256, 10_000, 8_192
+#: The graph is done when a round changes less than this share of the neighbours.
+SETTLED = 0.01
 #: Salts that deal out one node's edges or one vector's copies before they are ranked.
 SALTS = 32
 
@@ -108,15 +111,34 @@ def _leaves(batches: Iterator[pa.RecordBatch], trees: list[list[tuple[np.ndarray
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at * len(trees) + t)], names=["u", "v", "leaf"])
 
 
+def _groups(x: np.ndarray, seed: int) -> Iterator[np.ndarray]:
+    """Row numbers of x in groups of at most GROUP, halved by random hyperplanes; equal projections are halved as well."""
+    rng = np.random.default_rng(seed)
+    parts = [np.arange(len(x))]
+    while parts:
+        part = parts.pop()
+        if len(part) <= GROUP:
+            yield part
+            continue
+        w = x[rng.choice(part)] - x[rng.choice(part)]
+        w = w if np.any(w) else rng.normal(size=x.shape[1])
+        part = part[np.argsort(x[part] @ w, kind="stable")]
+        parts += [part[: len(part) // 2], part[len(part) // 2 :]]
+
+
 def _nearest_in(table: pa.Table, most: int) -> pa.Table:
+    table = table.sort_by("u")
     u, x = table.column("u").to_numpy(), unpack(table.column("v"))
-    d = distances(x, x)
-    np.fill_diagonal(d, np.inf)
-    k = min(most, len(u) - 1)
-    if k < 1:
-        return pa.table({"u": pa.array([], pa.int64()), "w": pa.array([], pa.int64()), "d": pa.array([], pa.float64())})
-    near = np.argpartition(d, k - 1, axis=1)[:, :k]
-    return pa.table({"u": np.repeat(u, k), "w": u[near].ravel(), "d": np.take_along_axis(d, near, 1).ravel().astype(float)})
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for part in _groups(x, table.column("leaf")[0].as_py()):
+        k = min(most, len(part) - 1)
+        if k < 1:
+            continue
+        d = distances(x[part], x[part])
+        np.fill_diagonal(d, np.inf)
+        near = np.argpartition(d, k - 1, axis=1)[:, :k]
+        out.append((np.repeat(u[part], k), u[part][near].ravel(), np.take_along_axis(d, near, 1).ravel()))
+    return pa.table({c: np.concatenate([o[k] for o in out]) for k, c in enumerate(("u", "w", "d"))})
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,45 +173,61 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield send()
 
 
-def build_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
+def build_graph(nodes: DataFrame, degree: int = DEGREE) -> DataFrame:
     """(u, w, d): each node's nearest neighbours met, at most degree; d is about the squared distance. nodes: (u, v), rounded."""
     n = nodes.count()
-    # a bounded sample, by hash of the node
-    sample = unpack(nodes.orderBy(F.xxhash64("u"), "u").limit(SAMPLE).select("v").toArrow().column("v"))
-    depth = max(0, min(int(np.ceil(np.log2(max(n, 1) / (0.75 * GROUP)))), int(np.log2(max(len(sample), 1) / 16 + 1))))
+    depth = _depth(n)
+    # a sample, by hash of the node
+    sample = unpack(nodes.orderBy(F.xxhash64("u"), "u").limit(max(SAMPLE, 16 << depth)).select("v").toArrow().column("v"))
     trees = [_planes(sample, depth, seed) for seed in range(TREES if depth else 1)]
     leaves = nodes.select("u", "v").mapInArrow(lambda it: _leaves(it, trees, depth), "u long, v binary, leaf long")
-    sizes = leaves.groupBy("leaf").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
-    dealt = leaves.join(F.broadcast(sizes), "leaf").withColumn("part", F.pmod(F.xxhash64("u"), F.col("parts")))  # at most TREES * 2 ** depth rows
+    sizes = leaves.groupBy("leaf").agg(F.ceil(F.count("*") / (4 * LEAF)).alias("parts"))
+    # a leaf too large for a worker is dealt out, in each tree another way
+    dealt = leaves.join(F.broadcast(sizes), "leaf").withColumn("part", F.pmod(F.xxhash64("u", "leaf"), F.col("parts")))  # at most TREES * 2 ** depth rows
     found = dealt.groupBy("leaf", "part").applyInArrow(lambda t: _nearest_in(t, degree), "u long, w long, d double")
-    graph = materialise(_kept(found.withColumn("new", F.lit(True)), degree), "graph")
-    for _ in range(rounds):
-        back = smallest(graph.select(F.col("w").alias("u"), F.col("u").alias("w"), "new", "d"), ["u"], [F.desc("new"), "d", "w"], BACK)
+    # new: the edge's two ends have not met u's others; back_new: nor those of w
+    graph = materialise(_kept(found.withColumns({"new": F.lit(True), "back_new": F.lit(True)}), degree), "graph")
+    while True:  # every round but the last replaces neighbours by nearer ones, so there is a last
+        turned = graph.select(F.col("w").alias("u"), F.col("u").alias("w"), F.col("back_new").alias("new"), "d")
+        back = materialise(smallest(turned, ["u"], [F.desc("new"), "d", "w"], BACK).drop("_rank"), "back")
         near = graph.select("u", "w", "new").unionByName(back.select("u", "w", "new")).groupBy("u", "w").agg(F.max("new").alias("new"))
         far = graph.groupBy("u").agg(F.when(F.count("*") >= degree, F.max("d")).otherwise(float("inf")).alias("far"))
         told = nodes.join(far, "u", "left").select(F.col("u").alias("w"), "v", F.coalesce("far", F.lit(float("inf"))).alias("far"))
         known = near.join(told, "w").select("u", "w", "v", "far", "new")
         met = known.repartition("u").sortWithinPartitions("u").mapInArrow(_meet, "u long, w long, d double")
-        after = materialise(_kept(graph.select("u", "w", "d").withColumn("new", F.lit(False)).unionByName(met.withColumn("new", F.lit(True))), degree), "graph")
+        after = materialise(_kept(_after(graph, back, met), degree), "graph")
         moved = after.where("new").count()
         discard(graph)
+        discard(back)
         graph = after
-        if moved < 0.01 * degree * n:
+        if moved <= SETTLED * degree * n:
             break
     return graph.select("u", "w", "d")
 
 
+def _depth(n: int) -> int:
+    """Of the trees on the driver: to groups if SAMPLE allows it, else to leaves that workers split on, whatever n is."""
+    groups, leaves = (max(0, int(np.ceil(np.log2(max(n, 1) / x)))) for x in (0.75 * GROUP, LEAF))
+    return min(groups, max(leaves, int(np.log2(min(n, SAMPLE) / 16 + 1))))
+
+
+def _after(graph: DataFrame, back: DataFrame, met: DataFrame) -> DataFrame:
+    """All edges after a round. A reverse edge that found no room in back has met no one there and stays new."""
+    held = graph.select("u", "w", "d", F.lit(False).alias("new"), "back_new")
+    taken = back.select(F.col("w").alias("u"), F.col("u").alias("w"), "d", F.lit(False).alias("new"), F.lit(False).alias("back_new"))
+    return held.unionByName(taken).unionByName(met.withColumns({"new": F.lit(True), "back_new": F.lit(True)}))
+
+
 def _kept(edges: DataFrame, degree: int) -> DataFrame:
     """Each node's nearest `degree`, each once; an edge known before is not new."""
-    once = edges.groupBy("u", "w").agg(F.min("d").alias("d"), F.min("new").alias("new"))
+    once = edges.groupBy("u", "w").agg(F.min("d").alias("d"), F.min("new").alias("new"), F.min("back_new").alias("back_new"))
     rank = F.row_number().over(Window.partitionBy("u").orderBy("d", "w"))
     return once.withColumn("_rank", rank).where(F.col("_rank") <= degree).drop("_rank")
 
 
 def _approach(table: pa.Table, asked: pa.Table) -> pa.Table:
     """One query's new nodes with about their distances."""
-    q = unpack(asked.column("qv"))
-    d = distances(q, unpack(table.column("v")))[0].astype(float) if table.num_rows and asked.num_rows else np.zeros(0)
+    d = ((unpack(table.column("v")) - unpack(asked.column("qv"))[:1]) ** 2).sum(1) if table.num_rows and asked.num_rows else np.zeros(0)
     return pa.table({"query": table.column("query"), "node": table.column("node"), "d": pa.array(d)}) if asked.num_rows else table.select(["query", "node"]).append_column("d", pa.nulls(0, pa.float64()))
 
 
@@ -199,7 +237,7 @@ def _measured(table: pa.Table, asked: pa.Table) -> pa.Table:
     return pa.table({"query": table.column("query"), "node": table.column("node"), "d": pa.array(d)})
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", beam: int = BEAM, degree: int = DEGREE) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", beam: int | None = None, degree: int = DEGREE) -> DataFrame:
     """For each id in queries (one column, a row of vectors): its k nearest others: query_id, rank, vec_id, score.
 
     score is the Euclidean distance in double precision on the original vectors; ties go to the smaller id; with fewer
@@ -211,6 +249,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     rows = materialise(usable(vectors, id_col, vec_col), "vectors")
     classes = materialise(rows.groupBy("v").agg(F.min("id").alias("u")), "classes")
     nodes = materialise(classes.select("u", "v").mapInArrow(_rounded, "u long, v binary"), "nodes")
+    beam = beam or int(BEAM * max(1, nodes.count() / BEAM_NODES) ** 0.5)
     of_node = rows.join(classes, "v").select("u", "id")
     copies = smallest(of_node, ["u"], ["id"], k + 1)
     graph = build_graph(nodes, degree)
@@ -220,7 +259,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     asked = materialise(wanted.join(of_node, "id").join(nodes, "u").select(F.col("id").alias("query"), "u", F.col("v").alias("qv")), "asked")
     pair = "query long, node long, d double"
     held = materialise(asked.select("query", F.col("u").alias("node"), F.lit(0.0).alias("d"), F.lit(False).alias("seen")), "beam")
-    for _ in range(STEPS):
+    while True:  # the beam only gets nearer, so it settles
         fresh = held.where("not seen").join(linked, F.col("node") == F.col("u")).select("query", F.col("w").alias("node")).distinct().join(held.select("query", "node"), ["query", "node"], "left_anti")
         fresh = fresh.join(nodes, F.col("node") == F.col("u")).select("query", "node", "v")
         met = fresh.groupBy("query").cogroup(asked.select("query", "qv").groupBy("query")).applyInArrow(_approach, pair)

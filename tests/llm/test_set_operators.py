@@ -166,6 +166,25 @@ def test_neighbours_edges(spark):
     assert neighbours.search(few.limit(0), few.select("vec_id").limit(0)).count() == 0
 
 
+def test_neighbours_start_follows_size():
+    for n in (1, 2, 500, 51_282, 10**6, 10**8):
+        d = neighbours._depth(n)
+        assert n <= neighbours.LEAF << d or n <= neighbours.GROUP << d
+    x = np.random.default_rng(1).normal(size=(5000, 8))
+    groups = list(neighbours._groups(x, 3))
+    assert max(map(len, groups)) <= neighbours.GROUP and sorted(np.concatenate(groups)) == list(range(5000))
+
+
+def test_unmet_reverse_edges_stay_new(spark):
+    """A hub takes BACK of its reverse edges in a round; the others are still to meet its neighbours."""
+    many = neighbours.BACK + 7
+    graph = spark.createDataFrame([(u, 1000, float(u), True, True) for u in range(many)], "u long, w long, d double, new boolean, back_new boolean")
+    turned = graph.select(F.col("w").alias("u"), F.col("u").alias("w"), F.col("back_new").alias("new"), "d")
+    back = neighbours.smallest(turned, ["u"], [F.desc("new"), "d", "w"], neighbours.BACK).drop("_rank")
+    after = neighbours._kept(neighbours._after(graph, back, graph.select("u", "w", "d").limit(0)), neighbours.DEGREE).collect()
+    assert {r.u for r in after if r.back_new} == set(range(neighbours.BACK, many)) and not any(r.new for r in after)
+
+
 def brute_tiles(item, doc, shortest):
     """Greedy tiling by looking at all pairs of positions."""
     a, b, tiles = [False] * len(item), [False] * len(doc), []
