@@ -7,8 +7,9 @@ meet each other, and every node keeps the nearest it has met. A query starts at
 neighbours of all nodes of its beam it hasn't looked at yet, until there are none; the beam widens with the number of nodes.
 What is returned is ranked by exact distances in double precision.
 
-Graph and walk use vectors rounded to a byte a component, with a scale of their own: they only choose whom to measure. A pair
-is passed on only if it is nearer than the farthest neighbour that one of the two keeps, so late rounds move little.
+Graph and walk see every vector as its column holds it, float or double, and compute in double precision around a group's
+centre, so near copies are told apart. A pair is passed on only if it is nearer than the farthest neighbour that one of the two
+keeps, so late rounds move little.
 """
 
 from __future__ import annotations
@@ -57,27 +58,29 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 
 def pack(x: np.ndarray) -> list[bytes]:
-    """Each row as a scale and a signed byte per component."""
-    scale = (np.abs(x).max(1, keepdims=True) / 127).astype(np.float32)
-    return [s.tobytes() + r.tobytes() for s, r in zip(scale, np.rint(x / scale).astype(np.int8), strict=True)]
+    """Each row as the width of a component and its components."""
+    tag = bytes([x.itemsize])
+    return [tag + r.tobytes() for r in x]
 
 
 def unpack(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if not len(column):
-        return np.zeros((0, 1), np.float32)
+        return np.zeros((0, 1))
     rows = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
-    return rows[:, 4:].view(np.int8) * np.ascontiguousarray(rows[:, :4]).view(np.float32)
+    return np.ascontiguousarray(rows[:, 1:]).view(f"f{rows[0, 0]}").astype(np.float64)
 
 
-def _rounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pack(matrix(batch.column(1))) if batch.num_rows else [], pa.binary())], names=["u", "v"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pack(matrix(batch.column(1)).astype(f"f{width}")) if batch.num_rows else [], pa.binary())], names=["u", "v"])
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances by the product form; good enough to choose, results are measured anew."""
+    """Squared distances by the product form, around the centre of b; good enough to choose, results are measured anew."""
+    centre = b.mean(-2, keepdims=True) if b.shape[-2] else 0
+    a, b = a - centre, b - centre
     return np.maximum((a * a).sum(-1)[..., :, None] + (b * b).sum(-1)[..., None, :] - 2 * a @ np.swapaxes(b, -1, -2), 0)
 
 
@@ -174,7 +177,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def build_graph(nodes: DataFrame, degree: int = DEGREE) -> DataFrame:
-    """(u, w, d): each node's nearest neighbours met, at most degree; d is about the squared distance. nodes: (u, v), rounded."""
+    """(u, w, d): each node's nearest neighbours met, at most degree; d is about the squared distance. nodes: (u, v), packed."""
     n = nodes.count()
     depth = _depth(n)
     # a sample, by hash of the node
@@ -248,7 +251,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     integral(vectors, id_col)
     rows = materialise(usable(vectors, id_col, vec_col), "vectors")
     classes = materialise(rows.groupBy("v").agg(F.min("id").alias("u")), "classes")
-    nodes = materialise(classes.select("u", "v").mapInArrow(_rounded, "u long, v binary"), "nodes")
+    width = 4 if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else 8
+    nodes = materialise(classes.select("u", "v").mapInArrow(lambda it: _packed(it, width), "u long, v binary"), "nodes")
     beam = beam or int(BEAM * max(1, nodes.count() / BEAM_NODES) ** 0.5)
     of_node = rows.join(classes, "v").select("u", "id")
     copies = smallest(of_node, ["u"], ["id"], k + 1)

@@ -166,6 +166,18 @@ def test_neighbours_edges(spark):
     assert neighbours.search(few.limit(0), few.select("vec_id").limit(0)).count() == 0
 
 
+def test_neighbours_of_near_copies(spark):
+    """Thousands of near copies, nearer to each other than a byte a component could tell."""
+    rng = np.random.default_rng(5)
+    x = (lambda v: v / np.abs(v).max())(rng.normal(size=64)) + rng.normal(scale=0.001, size=(3000, 64))
+    for kind in ("float", "double"):
+        v = x.astype(np.float32).astype(np.float64) if kind == "float" else x * np.r_[1e9, np.ones(63)]  # one dominant component
+        df = spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(v)], f"vec_id long, embedding array<{kind}>")
+        got = {(r.query_id, r.vec_id) for r in neighbours.search(df, df.select("vec_id").where("vec_id % 100 = 0")).collect()}
+        want = {(q, n) for q in range(0, 3000, 100) for n, _ in exact_neighbours(np.arange(3000), v, q)}
+        assert len(got) == len(want) and len(got & want) >= 0.95 * len(want)
+
+
 def test_neighbours_start_follows_size():
     for n in (1, 2, 500, 51_282, 10**6, 10**8):
         d = neighbours._depth(n)
