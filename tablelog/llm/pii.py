@@ -11,9 +11,11 @@ from __future__ import annotations
 import math
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -131,10 +133,17 @@ class Field:
         w = self.w
         return sum(w.get((f, y), 0.0) for f in features)
 
-    def decode(self, text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-        """(kind, start, end) of the best segmentation."""
+    def decode(self, text: str, tokens: list[tuple[int, int]], taken: Sequence[tuple[int, int]] = ()) -> list[tuple[int, int, int]]:
+        """(kind, start, end) of the best segmentation whose entities touch none of taken."""
         n = len(tokens)
         segments = self.segments(text, tokens)
+        if taken:
+            ends, starts, held = [b for _, b in tokens], [a for a, _ in tokens], [0] * (n + 1)
+            for x, y in taken:
+                for t in range(bisect_right(ends, x), bisect_left(starts, y)):
+                    held[t + 1] = 1
+            held = list(accumulate(held))
+            segments = {j: [(i, f) for i, f in xs if held[i] == held[j]] for j, xs in segments.items()}
         if not segments:
             return []
         best: list[list[float]] = [[0.0] + [-math.inf] * 4]
@@ -281,7 +290,7 @@ def trained() -> dict[tuple[str, int], float]:
 
 
 def stretches(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """(start, end, first, last): parts of text around cues that lie outside the base spans, each within a line.
+    """(start, end, first, last): parts of text around cues that don't lie inside base spans, each within a line.
 
     A stretch answers for the entities that start from first up to last. Beyond STRETCH characters another one begins; both
     reach LONGEST characters over the border between them, so an entity there lies whole in the one that answers for it.
@@ -292,7 +301,13 @@ def stretches(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
     for m in CUE.finditer(text):
         while k < len(covered) and covered[k][1] <= m.start():
             k += 1
-        if k < len(covered) and covered[k][0] < m.end():
+        at = m.start()
+        for n in range(k, len(covered)):
+            c, d = covered[n]
+            if c >= m.end() or any(x.isalnum() or x == "@" for x in text[at:c]):
+                break
+            at = max(at, d)
+        if not any(x.isalnum() or x == "@" for x in text[at : m.end()]):
             continue
         a, b = max(0, m.start() - 80), min(len(text), m.end() + 80)
         a, b = max(a, text.rfind("\n", a, m.start()) + 1), b if (e := text.find("\n", m.end(), b)) < 0 else e
@@ -313,10 +328,11 @@ def scan(text: str, field: Field) -> list[tuple[int, int, int, bool]]:
     base = base_spans(text)
     out = [(k, a, b, True) for k, a, b in base]
     taken = sorted((a, b) for _, a, b in base)
-    over = 0
+    over, reach = 0, list(accumulate((b for _, b in taken), max))
     for a, b, first, last in stretches(text, base):
         piece = text[a:b]
-        for kind, c, d in field.decode(piece, [m.span() for m in TOKEN.finditer(piece)]):
+        near = [(x - a, y - a) for x, y in taken[bisect_right(reach, a) : bisect_left(taken, (b,))]]
+        for kind, c, d in field.decode(piece, [m.span() for m in TOKEN.finditer(piece)], near):
             if first <= c + a < last and c + a >= over:
                 over = d + a
                 if all(d + a <= x or c + a >= y for x, y in taken):

@@ -170,6 +170,15 @@ def test_pii_in_one_long_line():
         assert "4567" not in pii.redact(text, pii.scan(text, field))
 
 
+def test_pii_beside_base_spans():
+    """A number that a cue joins with an address of the fixed patterns is found as well."""
+    field = pii.Field()
+    field.w.update(pii.trained())
+    for text in ("tel 555-123-4567 (192.168.10.20)", "tel 555-123-4567 10.0.0.1", "host 10.0.0.1 555-123-4567"):
+        a = text.index("555")
+        assert (3, a, a + 12, False) in pii.scan(text, field)
+
+
 def test_pii_long_texts_take_linear_time():
     field = pii.Field()
     for text in ("1" * 300_000, "a." * 150_000 + "@", "@" * 300_000, "+1" + " " * 300_000):
