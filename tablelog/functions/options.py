@@ -9,10 +9,10 @@ from tablelog.errors import OptionError
 from tablelog.functions.intervals import timestamp_ms
 
 # Option names and defaults.
-DEFAULTS: dict[str, Any] = {"updateCheckIntervalMillis": 5000, "updateCheckDelayMillis": 1000, "ignoreDeletes": False, "ignoreChanges": False, "parquetBatchSize": 2048, "maxVersionsPerTrigger": 100, "strictActions": False}
+DEFAULTS: dict[str, Any] = {"updateCheckIntervalMillis": 5000, "updateCheckDelayMillis": 1000, "ignoreDeletes": False, "ignoreChanges": False, "parquetBatchSize": 2048, "maxVersionsPerTrigger": 0, "maxFilesPerTrigger": 0, "strictActions": False}
 BOUNDED = ("versionAsOf", "timestampAsOf", "parquetBatchSize", "columns")
-CONTINUOUS = ("startingVersion", "startingTimestamp", "updateCheckIntervalMillis", "updateCheckDelayMillis", "ignoreDeletes", "ignoreChanges", "parquetBatchSize", "columns", "maxVersionsPerTrigger", "strictActions")
-_WHOLE = ("updateCheckIntervalMillis", "updateCheckDelayMillis", "parquetBatchSize", "versionAsOf", "maxVersionsPerTrigger")
+CONTINUOUS = ("startingVersion", "startingTimestamp", "updateCheckIntervalMillis", "updateCheckDelayMillis", "ignoreDeletes", "ignoreChanges", "parquetBatchSize", "columns", "maxVersionsPerTrigger", "maxFilesPerTrigger", "progressLocation", "strictActions")
+_WHOLE = ("updateCheckIntervalMillis", "updateCheckDelayMillis", "parquetBatchSize", "versionAsOf", "maxVersionsPerTrigger", "maxFilesPerTrigger")
 _FLAGS = ("ignoreDeletes", "ignoreChanges", "strictActions")
 _FORBIDDEN = ("spark.", "delta.logstore", "io.delta", "parquet.")
 
@@ -38,6 +38,8 @@ def source_options(given: Mapping[str, Any], streaming: bool) -> dict[str, Any]:
     for a, b in (("versionAsOf", "timestampAsOf"), ("startingVersion", "startingTimestamp")):
         if a in out and b in out:
             problems.append(f"{a} and {b} exclude each other")
+    if streaming and (out["maxVersionsPerTrigger"] or out["maxFilesPerTrigger"]) and "progressLocation" not in out:
+        problems.append("maxVersionsPerTrigger and maxFilesPerTrigger need progressLocation, the query's checkpoint folder")
     if problems:
         raise OptionError(problems)
     if out.get("ignoreChanges"):

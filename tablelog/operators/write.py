@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+import math
 import re
 import time
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +21,13 @@ from tablelog.functions.schema_rules import write_compatible
 from tablelog.plans import expr
 from tablelog.plans.actions import Action, AddFile, Metadata, SetTransaction
 from tablelog.sources.scan import SKIPPABLE
-from tablelog.sources.store import encoded, local
+from tablelog.sources.store import FileStatus, encoded, local
 from tablelog.sources.table import Table
 
 #: Leading data columns that statistics are kept of, characters of a string in them.
 STATS_COLUMNS, STATS_CHARS = 32, 32
+#: Files that the driver moves, or whose footers it reads, at a time.
+MOVERS = 16
 
 
 def table_types(df: DataFrame) -> DataFrame:
@@ -56,23 +61,96 @@ def write_files(table: Table, df: DataFrame, partition_columns: Iterable[str], d
     (writer.partitionBy(*columns) if columns else writer).parquet(own)
     # walk() may name paths by URI or not: what follows the own folder is the same
     found = [(f.path.split(own.rsplit("/", 1)[1] + "/", 1)[1], f) for f in table.store.walk(own) if f.name.startswith("part-")]
-    facts = file_stats(spark.read.parquet(own), columns, own.rsplit("/", 1)[1]) if stats and found else {}
-    out = []
-    for path, f in found:
+    facts = _facts(spark, own, df.schema, columns, found) if stats and found else {}
+
+    def put(path: str, f: FileStatus) -> AddFile | None:
         values = {}
         for piece in path.split("/")[:-1]:
             k, v = piece.split("=", 1)
             values[unfold(k)] = None if v == "__HIVE_DEFAULT_PARTITION__" else unfold(v)
         known = facts.get(path)
         if known is not None and known["numRecords"] == 0:
-            table.store.delete(f.path)
-            continue
+            return None  # it goes with its folder
         table.store.rename(f"{own}/{path}", f"{table.root}/{path}")
-        out.append(AddFile(encoded(path), {c: values.get(c) for c in columns}, f.size, int(time.time() * 1000), data_change, json.dumps(known, separators=(",", ":"), default=str) if known is not None else None))
+        return AddFile(encoded(path), {c: values.get(c) for c in columns}, f.size, int(time.time() * 1000), data_change, stats_text(known) if known is not None else None)
+
+    with ThreadPoolExecutor(MOVERS) as pool:  # a rename may be a copy in an object store
+        out = [a for a in pool.map(lambda x: put(*x), found) if a is not None]
     drop_folder(spark, own)
     return out
 
 
+def _facts(spark: SparkSession, own: str, schema: T.StructType, columns: list[str], found: list[tuple[str, FileStatus]]) -> dict[str, dict]:
+    """Statistics by path: from the footers where the driver can read the files, but for columns whose footers have none
+    (timestamps of 96 bits) by an aggregation over those columns alone; elsewhere by an aggregation."""
+    folder = own.rsplit("/", 1)[1]
+    plain = _counted(schema, columns)
+    if not local(own).startswith("/"):
+        return file_stats(spark.read.parquet(own), columns, folder)
+    with ThreadPoolExecutor(MOVERS) as pool:
+        out = dict(zip((p for p, _ in found), pool.map(lambda x: footer_stats(local(x[1].path), plain), found), strict=True))
+    missing = [f.name for f in plain if isinstance(f.dataType, T.TimestampType)]
+    if missing:
+        more = file_stats(spark.read.parquet(own).select(*(F.col(f"`{c}`") for c in missing), "_metadata"), columns, folder)
+        for path, facts in more.items():
+            for k in ("minValues", "maxValues", "nullCount"):
+                out[path][k] |= facts[k]
+    return out
+
+
+def _counted(schema: T.StructType, partition_columns: list[str]) -> list[T.StructField]:
+    """The leading columns that statistics are kept of."""
+    return [f for f in schema.fields if f.name not in partition_columns and isinstance(f.dataType, SKIPPABLE)][:STATS_COLUMNS]
+
+
+def footer_stats(path: str, plain: list[T.StructField]) -> dict:
+    """numRecords, minValues, maxValues, nullCount of a Parquet file by its footer. A column without bounds in any row group that
+    has values gets none."""
+    import pyarrow.parquet as pq
+
+    meta = pq.read_metadata(path)
+    out: dict = {"numRecords": meta.num_rows, "minValues": {}, "maxValues": {}, "nullCount": {}}
+    at = {meta.schema.column(k).path: k for k in range(meta.num_columns)}
+    for f in plain:
+        if f.name not in at:
+            continue
+        low, high, nulls, whole = [], [], 0, True
+        for g in range(meta.num_row_groups):
+            c = meta.row_group(g).column(at[f.name])
+            s = c.statistics
+            if s is None or not s.has_null_count:
+                nulls, whole = None, False
+                break
+            nulls += s.null_count
+            bounds = None if isinstance(f.dataType, T.TimestampType) or not s.has_min_max else (s.min, s.max)
+            if bounds is not None and any(isinstance(x, float) and math.isnan(x) for x in bounds):
+                whole = False
+            elif bounds is not None:
+                low.append(bounds[0])
+                high.append(bounds[1])
+            elif s.null_count < meta.row_group(g).num_rows:
+                whole = False
+        if nulls is not None:
+            out["nullCount"][f.name] = nulls
+        if whole and low:
+            out["minValues"][f.name], out["maxValues"][f.name] = _said(min(low), f.dataType), _said(max(high), f.dataType)
+    return out
+
+
+def _said(value: object, kind: T.DataType) -> object:
+    """A bound as the log writes it: strings cut, decimals and dates as JSON has them."""
+    if isinstance(kind, T.StringType):
+        return (value.decode() if isinstance(value, bytes) else str(value))[:STATS_CHARS]
+    return value.isoformat() if isinstance(kind, T.DateType) else value
+
+
+def stats_text(facts: dict) -> str:
+    """Statistics as JSON; decimals keep all their digits, as numbers."""
+    mark = uuid.uuid4().hex
+    text = json.dumps(facts, separators=(",", ":"), default=lambda x: f"{mark}{x:f}" if isinstance(x, Decimal) else str(x))
+    return re.sub(f'"{mark}([^"]*)"', r"\1", text)
+
+
 def unfold(text: str) -> str:
     """A partition folder's piece without its escapes."""
     return re.sub(r"%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), text)
@@ -85,7 +163,7 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 
 def file_stats(rows: DataFrame, partition_columns: list[str], folder: str) -> dict[str, dict]:
     """path below the folder -> numRecords, minValues, maxValues, nullCount of the leading columns: one aggregation by file."""
-    plain = [f for f in rows.schema.fields if f.name not in partition_columns and isinstance(f.dataType, SKIPPABLE)][:STATS_COLUMNS]
+    plain = _counted(rows.schema, partition_columns)
     aggregates = [F.count("*").alias("n")]
     for k, f in enumerate(plain):
         c = F.col(f"`{f.name}`")
@@ -96,7 +174,7 @@ def file_stats(rows: DataFrame, partition_columns: list[str], folder: str) -> di
     grouped = rows.groupBy(place.alias("_file")).agg(*aggregates)
     fields = lambda p: F.struct(*(F.col(f"{p}{k}").alias(f.name) for k, f in enumerate(plain))) if plain else F.struct(F.lit(None).alias("none"))
     said = grouped.select("_file", F.to_json(F.struct(F.col("n").alias("numRecords"), fields("a").alias("minValues"), fields("b").alias("maxValues"), fields("c").alias("nullCount"))).alias("stats"))
-    return {r["_file"]: {"numRecords": 0, "minValues": {}, "maxValues": {}, "nullCount": {}} | json.loads(r.stats) for r in said.collect()}
+    return {r["_file"]: {"numRecords": 0, "minValues": {}, "maxValues": {}, "nullCount": {}} | json.loads(r.stats, parse_float=Decimal) for r in said.collect()}
 
 
 def _aligned(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -18,7 +18,7 @@ from tablelog.errors import ActionNotFound
 from tablelog.functions import properties
 from tablelog.plans.actions import ACTION_SCHEMA, Action, AddFile, Metadata, Protocol, RemoveFile, SetTransaction, check_readable, from_body, parse_line
 from tablelog.plans.segment import Segment, version_of
-from tablelog.sources.store import LogStore, canonical, decoded, is_absolute, local, relative_to
+from tablelog.sources.store import FileStatus, LogStore, canonical, decoded, is_absolute, local, relative_to
 
 DRIVER_BYTES = 16 << 20
 #: Files of an inventory: what scans and listings work on.
@@ -49,6 +49,28 @@ def path_key(path: str, root: str) -> str:
     return relative_to(root, canonical(path)) if is_absolute(path) else path
 
 
+def local_checkpoint(files: Iterable[FileStatus], store: LogStore | None = None) -> Iterator[Action]:
+    """The actions of checkpoint files, read here without a job; store.open() or the local disk gives the bytes."""
+    import pyarrow.parquet as pq
+
+    for f in files:
+        for r in pq.read_table(store.open(f.path) if hasattr(store, "open") else f.path).to_pylist():
+            for key in ("metaData", "protocol", "txn", "add", "remove"):
+                if r.get(key) is not None:
+                    body = {k: _mapped(k, v) for k, v in r[key].items()}
+                    yield from_body(key, body)
+
+
+_MAPS = ("partitionValues", "tags", "configuration", "options")
+
+
+def _mapped(name: str, value: object) -> object:
+    """Arrow gives maps as lists of pairs."""
+    if isinstance(value, dict):
+        return {k: _mapped(k, v) for k, v in value.items()}
+    return dict(value) if name in _MAPS and value is not None else value
+
+
 class Replay:
     """State by replaying actions in order on the driver."""
 
@@ -107,15 +129,22 @@ class Snapshot:
     @cached_property
     def replay(self) -> Replay:
         out = Replay(self.root)
-        if self.segment.checkpoint:
-            for r in self._checkpoint().collect():  # DRIVER_BYTES at most
-                for key in ("metaData", "protocol", "txn", "add", "remove"):
-                    if key in r and r[key] is not None:
-                        out.add(from_body(key, r[key].asDict(recursive=True)))
+        for a in self._checkpoint_actions():
+            out.add(a)
         for _, a in self._commit_actions(self.segment.commits):
             out.add(a)
         return out
 
+    def _checkpoint_actions(self) -> Iterator[Action]:
+        """Of a small checkpoint (DRIVER_BYTES at most), in one read: no job if its files lie on a local disk."""
+        if all(f.path.startswith("/") for f in self.segment.checkpoint):
+            yield from local_checkpoint(self.segment.checkpoint)
+            return
+        for r in self._checkpoint().collect():
+            for key in ("metaData", "protocol", "txn", "add", "remove"):
+                if key in r and r[key] is not None:
+                    yield from_body(key, r[key].asDict(recursive=True))
+
     @cached_property
     def actions(self) -> DataFrame:
         """All actions of the segment as rows, with _version and _position (the line's offset order within a file)."""
@@ -152,6 +181,8 @@ class Snapshot:
                 return protocol, metadata
         if self._before:
             return protocol or self._before.protocol, metadata or self._before.metadata
+        if self.segment.checkpoint and self.small:
+            return protocol or self.replay.protocol, metadata or self.replay.metadata
         if self.segment.checkpoint:
             rows = self._checkpoint().select("protocol", "metaData").where("protocol is not null or metaData is not null").collect()
             for r in rows:

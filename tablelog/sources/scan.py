@@ -17,7 +17,7 @@ from tablelog.plans import expr
 from tablelog.plans.actions import AddFile
 from tablelog.plans.snapshot import Snapshot, file_rows
 
-#: Bytes of an inventory (its paths and values) that may be broadcast to inject partition values; beyond it the join shuffles.
+#: Bytes of an inventory (its paths and values) that one broadcast may hold; a larger one goes in several, each to its own files.
 BROADCAST_BYTES = 32 << 20
 #: Types that statistics rule files out by.
 SKIPPABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType, T.StringType, T.DateType, T.TimestampType)
@@ -243,7 +243,7 @@ def read_files(snapshot: Snapshot, inventory: DataFrame) -> DataFrame:
     """Rows of an inventory's files in the table's column order, partition values from the log.
 
     Files laid out in p=v folders that say what the log says are read by Spark as partitions, so its own pruning applies
-    once more. Otherwise values are joined on by file: broadcast when small, shuffled beyond.
+    once more. Otherwise values are joined on by file, broadcast in pieces.
     """
     meta, spark = snapshot.metadata, snapshot.spark
     columns = meta.partitionColumns
@@ -265,17 +265,43 @@ def read_files(snapshot: Snapshot, inventory: DataFrame) -> DataFrame:
         whole = T.StructType([*data_schema.fields, *(T.StructField(c, meta.schema[c].dataType) for c in columns)])
         rows = parquet_files(spark, whole, paths, root)
         return rows.select(*(F.col(f"`{logical[f.name]}`").alias(f.name) for f in meta.schema.fields))
-    named = spark.createDataFrame([(p if "://" in p else f"file:{p}", [v[c] for c in columns]) for p, v in zip(paths, values, strict=True)], "_file string, _values array<string>")
-    size = sum(len(p) + 16 + sum(len(x or "") for x in v.values()) for p, v in zip(paths, values, strict=True))
-    rows = parquet_files(spark, data_schema, paths).withColumn("_file", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
-    joined = rows.join(F.broadcast(named) if size <= BROADCAST_BYTES else named, "_file", "left")
-
-    def value(c: str) -> Column:
-        raw = F.col("_values")[list(columns).index(c)]
-        kind = meta.schema[c].dataType
-        return raw if isinstance(kind, T.StringType) else F.when(raw != "", raw).cast(kind)
-
-    return joined.select(*((value(f.name) if f.name in columns else F.col(f"`{logical[f.name]}`")).alias(f.name) for f in meta.schema.fields))
+    return _with_values(snapshot, data_schema, paths, [[v[c] for c in columns] for v in values], {c: meta.schema[c].dataType for c in columns}, {f.name: logical[f.name] for f in meta.schema.fields})
+
+
+def _with_values(snapshot: Snapshot, data_schema: T.StructType, paths: list[str], values: list[list[str | None]], kinds: dict[str, T.DataType], columns: dict[str, str]) -> DataFrame:
+    """Rows of files with each file's values (kinds names them) joined on, as columns (name -> stored name). The list goes in
+    pieces of at most BROADCAST_BYTES, each broadcast to a read of its own files: no row is shuffled."""
+    spark, out, at = snapshot.spark, None, 0
+    while at < len(paths):
+        end, size = at, 0
+        while end < len(paths) and (end == at or size <= BROADCAST_BYTES):
+            size += len(paths[end]) + 16 + sum(len(x or "") for x in values[end])
+            end += 1
+        named = spark.createDataFrame([(p if "://" in p else f"file:{p}", v) for p, v in zip(paths[at:end], values[at:end], strict=True)], "_file string, _values array<string>")
+        rows = parquet_files(spark, data_schema, list(dict.fromkeys(paths[at:end]))).withColumn("_file", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+        joined = rows.join(F.broadcast(named), "_file", "left")
+
+        def value(k: int, kind: T.DataType) -> Column:
+            raw = F.col("_values")[k]
+            return raw if isinstance(kind, T.StringType) else F.when(raw != "", raw).cast(kind)
+
+        given = {c: value(k, kind) for k, (c, kind) in enumerate(kinds.items())}
+        piece = joined.select(*((given[c] if c in given else F.col(f"`{stored}`")).alias(c) for c, stored in columns.items()))
+        out, at = piece if out is None else out.unionAll(piece), end
+    return out
+
+
+def read_tagged(snapshot: Snapshot, added: list[tuple[AddFile, int]], tag: str) -> DataFrame:
+    """Rows of files, each with the tag (a long) of its file: one read for all tags. A file given twice brings its rows twice."""
+    meta = snapshot.metadata
+    logical = {f.name: f.metadata.get("delta.columnMapping.physicalName", f.name) for f in meta.schema.fields}
+    data_schema = T.StructType([T.StructField(logical[f.name], f.dataType, True) for f in meta.data_schema.fields])
+    if not added:
+        return snapshot.spark.createDataFrame([], T.StructType([*_nullable(meta.schema).fields, T.StructField(tag, T.LongType())]))
+    columns = list(meta.partitionColumns)
+    values = [[*((a.partitionValues or {}).get(logical[c], (a.partitionValues or {}).get(c)) for c in columns), str(v)] for a, v in added]
+    kinds = {c: meta.schema[c].dataType for c in columns} | {tag: T.LongType()}
+    return _with_values(snapshot, data_schema, [snapshot.data_path(a.path) for a, _ in added], values, kinds, {f.name: logical[f.name] for f in meta.schema.fields} | {tag: tag})
 
 
 def _nullable(schema: T.StructType) -> T.StructType:

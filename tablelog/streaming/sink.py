@@ -27,6 +27,21 @@ def writer(df: DataFrame, path: str, app_id: str, checkpoint: str, partition_by:
     return df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(put)
 
 
-def write_stream(df: DataFrame, path: str, app_id: str, checkpoint: str, available_now: bool = True, **more) -> StreamingQuery:
+def write_stream(df: DataFrame, path: str, app_id: str, checkpoint: str, available_now: bool = True, poll_ms: int | None = None, **more) -> StreamingQuery:
+    """Start writing. available_now: what is there, then the query ends; else on, looking for more every poll_ms."""
     w = writer(df, path, app_id, checkpoint, **more)
-    return (w.trigger(availableNow=True) if available_now else w).start()
+    if available_now:
+        return w.trigger(availableNow=True).start()
+    return (w.trigger(processingTime=f"{poll_ms} milliseconds") if poll_ms is not None else w).start()
+
+
+def drain(df: DataFrame, path: str, app_id: str, checkpoint: str, **more) -> int:
+    """Write all that is there, run after run until one finds nothing; returns the number of runs that wrote. For sources that
+    take one bounded batch a run."""
+    runs = 0
+    while True:
+        q = write_stream(df, path, app_id, checkpoint, **more)
+        q.awaitTermination()
+        if not any(p["numInputRows"] for p in q.recentProgress):
+            return runs
+        runs += 1

@@ -2,25 +2,31 @@
 
 Offsets are {"version", "index", "initial"}: initial offsets point into the list of a snapshot's files, later ones name the last
 version that was read. Spark's offset log is the only state. Files are read where the tasks run, as Arrow batches.
+
+maxFilesPerTrigger bounds a batch of the snapshot, maxVersionsPerTrigger one of changes, the first batch as well; 0 is no bound.
+Spark doesn't tell a Python source where a run starts when it asks how far its first batch shall go, so a bound needs
+progressLocation, the folder of the query's checkpoint. A run by availableNow asks such a source once, so it takes one
+batch; drain() of the sink runs again until nothing is left.
 """
 
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-from tablelog.errors import DataLoss, StreamError
+from tablelog.errors import DataLoss, StoreError, StreamError
 from tablelog.functions.options import source_options
 from tablelog.plans import segment
 from tablelog.plans.actions import Action, AddFile, Metadata, Protocol, RemoveFile, parse_line
-from tablelog.plans.snapshot import Replay, path_key
+from tablelog.plans.snapshot import Replay, local_checkpoint, path_key
 from tablelog.shipping import ship
 from tablelog.sources.scan import decode
-from tablelog.sources.store import LocalStore, LogStore, decoded, is_absolute, local
+from tablelog.sources.store import FileStatus, LocalStore, LogStore, decoded, is_absolute, lines_of, local
 
 NAME = "tablelog"
 #: Bytes of a file that one task reads; a larger file is dealt out by row groups.
@@ -78,19 +84,8 @@ class _Log:
     def replay(self, version: int | None = None) -> tuple[int, Replay]:
         s = segment.build(self.store, self.log, version)
         out = Replay(self.root)
-        if s.checkpoint:
-            import pyarrow.parquet as pq
-
-            from tablelog.plans.actions import from_body
-
-            for f in s.checkpoint:
-                for r in pq.read_table(f.path).to_pylist():
-                    for key in ("metaData", "protocol", "txn", "add", "remove"):
-                        if r.get(key) is not None:
-                            body = {k: dict(v) if isinstance(v, list) and v and isinstance(v[0], tuple) else {} if v == [] and k in ("partitionValues", "tags", "configuration") else v for k, v in r[key].items()}
-                            if key == "metaData" and isinstance(body.get("format"), dict):
-                                body["format"] = {"provider": body["format"].get("provider"), "options": dict(body["format"].get("options") or [])}
-                            out.add(from_body(key, body))
+        for a in local_checkpoint(s.checkpoint, self.store):
+            out.add(a)
         for f in s.commits:
             for line in self.store.read(f.path):
                 out.add(parse_line(line))
@@ -111,10 +106,52 @@ class _Log:
         return segment.at_timestamp(segment.commits_from(self.store, self.log), ms)
 
 
+class ArrowStore(LogStore):
+    """Reads a log where there is no JVM: any file system that Arrow has (s3, gs, hdfs), by URI. It can't write."""
+
+    def __init__(self, uri: str) -> None:
+        from pyarrow import fs
+
+        self.fs, at = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+        self.base = uri.split("://", 1)[0] + "://"
+        self.offset = at  # the root without its scheme, as this file system names it
+
+    def plain(self, path: str) -> str:
+        return path.split("://", 1)[1] if "://" in path else path
+
+    def list_from(self, path: str) -> list[FileStatus]:
+        from pyarrow import fs
+
+        folder, first = path.rsplit("/", 1)
+        found = self.fs.get_file_info(fs.FileSelector(self.plain(folder)))
+        named = [(f, f.path.rsplit("/", 1)[1]) for f in found if f.type == fs.FileType.File]
+        return sorted(FileStatus(f"{folder}/{n}", f.size, f.mtime_ns // 1_000_000) for f, n in named if n >= first)
+
+    def open(self, path: str):
+        return self.fs.open_input_file(self.plain(path))
+
+    def read(self, path: str) -> list[str]:
+        with self.fs.open_input_stream(self.plain(path)) as f:
+            return lines_of(f.read().decode())
+
+    def exists(self, path: str) -> bool:
+        from pyarrow import fs
+
+        return self.fs.get_file_info(self.plain(path)).type != fs.FileType.NotFound
+
+    def _refuse(self, *_: object, **__: object):
+        raise StoreError("the source's process only reads")
+
+    write = delete = rename = make_folder = walk = _refuse
+
+
 def _store(path: str) -> LogStore:
-    if not (path.startswith("/") or path.startswith("file:")):
-        raise StreamError(f"the Python source reads local and mounted paths, not {path}; use Table and foreachBatch there")
-    return LocalStore()
+    if path.startswith("/") or path.startswith("file:"):
+        return LocalStore()
+    try:
+        return ArrowStore(path)
+    except Exception as e:
+        raise StreamError(f"the Python source reads local and mounted paths and what Arrow's file systems reach, not {path} ({e}); use Table and foreachBatch there") from e
 
 
 def read_part(part: FilePart, schema: T.StructType, partition_columns: tuple[str, ...]) -> Iterator:
@@ -124,10 +161,15 @@ def read_part(part: FilePart, schema: T.StructType, partition_columns: tuple[str
     from pyspark.sql.pandas.types import to_arrow_schema
 
     target = to_arrow_schema(schema)
-    f = pq.ParquetFile(part.path)
+    f = pq.ParquetFile(part.path if part.path.startswith("/") else _store(part.path).open(part.path))
     there = {n: n for n in f.schema_arrow.names}
     groups = [g for g in range(f.num_row_groups) if g % part.shares == part.share]
-    for batch in f.iter_batches(row_groups=groups, columns=[n for n in target.names if n in there and n not in partition_columns] or None):
+    wanted = [n for n in target.names if n in there and n not in partition_columns]
+    if not wanted:  # partition columns alone: the footer has the number of rows
+        batches = (_blank(n) for g in groups for n in _pieces(f.metadata.row_group(g).num_rows))
+    else:
+        batches = f.iter_batches(row_groups=groups, columns=wanted)
+    for batch in batches:
         columns = []
         for field, kind in zip(target, schema.fields, strict=True):
             if field.name in partition_columns:
@@ -141,43 +183,88 @@ def read_part(part: FilePart, schema: T.StructType, partition_columns: tuple[str
         yield pa.RecordBatch.from_arrays(columns, schema=target)
 
 
+def _pieces(rows: int, most: int = 1 << 16) -> Iterator[int]:
+    while rows > 0:
+        yield min(rows, most)
+        rows -= most
+
+
+def _blank(rows: int):
+    """A batch of so many rows without a column to speak of."""
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.nulls(rows)], names=["\0"])
+
+
 class TableStreamReader(DataSourceStreamReader):
     def __init__(self, path: str, schema: T.StructType, partition_columns: tuple[str, ...], options: dict) -> None:
         self.path, self.schema, self.partition_columns, self.options = path, schema, partition_columns, options
 
     def initialOffset(self) -> dict:
-        log, o = _Log(self.path), self.options
-        if "startingVersion" in o:
-            v = log.latest() if o["startingVersion"] == "latest" else o["startingVersion"]
-            return {"version": v - 1, "index": 0, "initial": False}
-        if "startingTimestamp" in o:
-            return {"version": log.version_from(o["startingTimestamp"]) - 1, "index": 0, "initial": False}
-        return {"version": log.latest(), "index": 0, "initial": True}
+        """The same answer however often it is asked: Spark asks for the first batch's end before its start."""
+        if getattr(self, "_initial", None) is None:
+            log, o = _Log(self.path), self.options
+            if "startingVersion" in o:
+                v = log.latest() if o["startingVersion"] == "latest" else o["startingVersion"]
+                self._initial = {"version": v - 1, "index": 0, "initial": False}
+            elif "startingTimestamp" in o:
+                self._initial = {"version": log.version_from(o["startingTimestamp"]) - 1, "index": 0, "initial": False}
+            else:
+                self._initial = {"version": log.latest(), "index": 0, "initial": True}
+        return self._initial
+
+    def _known_start(self) -> dict | None:
+        """Where the next batch begins: the end of this run's last one, or of the last one in the query's checkpoint, or the
+        start of all. None (no bounds then) before a run's first batch if progressLocation doesn't name the checkpoint."""
+        if getattr(self, "_start", None) is None and (at := self.options.get("progressLocation")):
+            self._start = last_offset(at) or self.initialOffset()
+        return getattr(self, "_start", None)
 
     def latestOffset(self) -> dict:
-        log = _Log(self.path)
-        latest = log.latest()
-        start = getattr(self, "_start", None)
+        """The end of the next batch: so many files of the snapshot at most, then so many versions."""
+        o, start = self.options, self._known_start()
+        if start is not None and start["initial"]:
+            most = o["maxFilesPerTrigger"]
+            if most and start["index"] + most < len(self._snapshot_files(start["version"])):
+                return start | {"index": start["index"] + most}
+            return {"version": start["version"], "index": 0, "initial": False}
+        latest = self._latest()
+        most = o["maxVersionsPerTrigger"]
         if start is None:
             return {"version": latest, "index": 0, "initial": False}
-        most = self.options["maxVersionsPerTrigger"]
-        return {"version": min(latest, start + most) if most else latest, "index": 0, "initial": False}
+        return {"version": max(start["version"], min(latest, start["version"] + most) if most else latest), "index": 0, "initial": False}
+
+    def _latest(self) -> int:
+        """The latest version; the log is listed again updateCheckIntervalMillis after the last time, the second time after
+        updateCheckDelayMillis."""
+        now = time.monotonic()
+        if getattr(self, "_listed", None) is None or now >= self._again:
+            first = getattr(self, "_listed", None) is None
+            self._listed = _Log(self.path).latest()
+            self._again = time.monotonic() + self.options["updateCheckDelayMillis" if first else "updateCheckIntervalMillis"] / 1000
+        return self._listed
+
+    def _snapshot_files(self, version: int) -> list[AddFile]:
+        """The snapshot's files in the order that index counts."""
+        if getattr(self, "_listing", (None,))[0] != version:
+            _, state = _Log(self.path).replay(version)
+            self._listing = (version, sorted(state.files.values(), key=lambda a: a.path))
+        return self._listing[1]
 
     def partitions(self, start: dict, end: dict) -> list[FilePart]:
         log, o = _Log(self.path), self.options
-        first = start["version"] + 1
         out = []
         if start["initial"]:
-            _, state = log.replay(start["version"])
-            out += parts_of(log, sorted(state.files.values(), key=lambda a: a.path))
-        for v in range(first, end["version"] + 1):
-            try:
-                actions = log.actions(v)
-            except FileNotFoundError:
-                raise DataLoss(f"version {v} is gone from the log") from None
-            strict = o.get("strictActions", False)
-            out += parts_of(log, added_files(actions, o["ignoreChanges"], o["ignoreDeletes"], None if v == 0 else self._whole(log), strict, self.partition_columns, v))
-        self._start = end["version"]
+            files = self._snapshot_files(start["version"])
+            out += parts_of(log, files[start["index"] : end["index"] if end["initial"] else None])
+        if not end["initial"]:
+            for v in range(start["version"] + 1, end["version"] + 1):
+                try:
+                    actions = log.actions(v)
+                except FileNotFoundError:
+                    raise DataLoss(f"version {v} is gone from the log") from None
+                out += parts_of(log, added_files(actions, o["ignoreChanges"], o["ignoreDeletes"], None if v == 0 else self._whole(log), o.get("strictActions", False), self.partition_columns, v))
+        self._start = end
         return out
 
     def _whole(self, log: _Log) -> T.StructType:
@@ -259,7 +346,7 @@ class TableSource(DataSource):
 
     def _streams(self) -> bool:
         names = {k.lower() for k in self.options}
-        return bool(names & {n.lower() for n in ("startingVersion", "startingTimestamp", "ignoreDeletes", "ignoreChanges", "maxVersionsPerTrigger", "updateCheckIntervalMillis", "updateCheckDelayMillis", "strictActions")})
+        return bool(names & {n.lower() for n in ("startingVersion", "startingTimestamp", "ignoreDeletes", "ignoreChanges", "maxVersionsPerTrigger", "maxFilesPerTrigger", "progressLocation", "updateCheckIntervalMillis", "updateCheckDelayMillis", "strictActions")})
 
     def schema(self) -> T.StructType:
         _, _, meta, o = self._told(self._streams())
@@ -282,6 +369,23 @@ def _selected(schema: T.StructType, columns: list[str] | None) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in out.fields])
 
 
+def last_offset(checkpoint: str) -> dict | None:
+    """The end of the last batch that a query planned, by the offset log in its checkpoint folder; None if it has none."""
+    store, folder = _store(checkpoint), f"{local(checkpoint.rstrip('/'))}/offsets"
+    try:
+        found = [f for f in store.list_from(f"{folder}/") if f.name.isdigit()]
+    except FileNotFoundError:
+        return None
+    for line in reversed(store.read(max(found, key=lambda f: int(f.name)).path) if found else []):
+        try:
+            o = json.loads(line)
+        except ValueError:
+            continue
+        if isinstance(o, dict) and set(o) == {"version", "index", "initial"}:
+            return o
+    return None
+
+
 def register(spark: SparkSession) -> None:
     ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")

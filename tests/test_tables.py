@@ -29,40 +29,74 @@ def rows(df, *by):
 
 
 @pytest.fixture
-def city(spark, path):
-    """Five rows by date and city."""
+def visits(spark, path):
+    """Six rows by month and port."""
     t = Table.for_path(spark, path)
-    d = spark.createDataFrame([("hz", "20180520", "Jim", 3), ("hz", "20180718", "Jone", 7), ("bj", "20180520", "Ann", 1), ("sh", "20180512", "Jay", 4), ("sz", "20181212", "Linda", 8)], "city string, date string, name string, cnt int")
-    write.append(t, d, partition_by=["date", "city"])
+    d = spark.createDataFrame([("oslo", "2021-03", "Vega", 12), ("oslo", "2021-09", "Lyra", 30), ("oslo", "2021-09", "Mira", 4), ("kobe", "2021-03", "Nova", 6), ("lima", "2021-01", "Alya", 17), ("bari", "2021-12", "Atria", 9)], "port string, month string, ship string, days int")
+    write.append(t, d, partition_by=["month", "port"])
     return t
 
 
-def test_pruned_files_are_not_touched(spark, city):
-    p = E.And(E.EqualTo(E.Column("city", T.StringType()), E.Literal.of("hz")), E.EqualTo(E.Column("date", T.StringType()), E.Literal.of("20180520")))
-    for f in city.update().files():
-        if f.partitionValues["city"] != "hz":
-            os.unlink(f"{city.root}/{f.path}")
-    scan = city.scan(p)
-    assert scan.residual is None and rows(scan.rows()) == [("hz", "20180520", "Jim", 3)]
-    assert all("city=hz" in f for f in scan.rows().inputFiles())
-    assert rows(city.scan(E.EqualTo(E.Column("CITY", T.StringType()), E.Literal.of("hz"))).rows(["name"])) == [("Jim",), ("Jone",)]
+PORT, MONTH, DAYS = (E.Column(n, k) for n, k in (("port", T.StringType()), ("month", T.StringType()), ("days", INT)))
+OSLO = E.EqualTo(PORT, E.Literal.of("oslo"))
 
 
-def test_projection(city):
-    assert city.to_df(columns=["cnt", "city"]).columns == ["cnt", "city"]
+def test_pruned_files_are_not_touched(spark, visits):
+    for f in visits.update().files():
+        if f.partitionValues["port"] != "oslo":
+            os.unlink(f"{visits.root}/{f.path}")
+    scan = visits.scan(E.And(OSLO, E.EqualTo(MONTH, E.Literal.of("2021-03"))))
+    assert scan.residual is None and rows(scan.rows()) == [("oslo", "2021-03", "Vega", 12)]
+    assert all("port=oslo" in f for f in scan.rows().inputFiles())
+    assert rows(visits.scan(E.EqualTo(E.Column("PORT", T.StringType()), E.Literal.of("oslo"))).rows(["ship"])) == [("Lyra",), ("Mira",), ("Vega",)]
+
+
+def test_projection(visits):
+    assert visits.to_df(columns=["days", "port"]).columns == ["days", "port"]
     for bad in ([], [" "], ["nope"]):
         with pytest.raises(errors.SchemaError):
-            city.to_df(columns=bad)
-    plan = city.to_df(columns=["cnt"])._jdf.queryExecution().executedPlan().toString()
-    assert "name" not in plan.split("ReadSchema")[1]
+            visits.to_df(columns=bad)
+    plan = visits.to_df(columns=["days"])._jdf.queryExecution().executedPlan().toString()
+    assert "ship" not in plan.split("ReadSchema")[1]
+
+
+def test_filters_reach_the_files(visits):
+    found = visits.scan(E.And(OSLO, E.GreaterThan(DAYS, E.Literal.of(11)))).rows(["ship"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(days,11)" in plan and "PartitionFilters" in plan and rows(found) == [("Lyra",), ("Vega",)]
+    assert plan.split("ReadSchema")[1].split("\n")[0].count(":") <= 4  # ship and days
 
 
-def test_filters_reach_the_files(city):
-    p = E.And(E.EqualTo(E.Column("city", T.StringType()), E.Literal.of("hz")), E.GreaterThan(E.Column("cnt", T.LongType()), E.Literal.of(3, T.LongType())))
-    rows_ = city.scan(p).rows(["name"])
-    plan = rows_._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThan(cnt,3)" in plan and "PartitionFilters" in plan and rows(rows_) == [("Jone",)]
-    assert plan.split("ReadSchema")[1].split("\n")[0].count(":") <= 4  # name and cnt
+def test_values_never_shuffle_rows(spark, visits, monkeypatch):
+    """Values that don't come from folders are broadcast in pieces, however small a piece must be."""
+    from tablelog.sources import scan
+
+    u = Table.for_path(spark, visits.root + "2")
+    u.start().commit([Metadata.of(visits.update().schema, ["month", "port"]), *(f.same(path=f"file:{visits.root}/{f.path}", dataChange=True) for f in visits.update().files())], "CLONE")
+    monkeypatch.setattr(scan, "BROADCAST_BYTES", 0)
+    df = u.to_df()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert rows(df) == rows(visits.to_df()) and plan.count("BroadcastHashJoin") >= 5 and "hashpartitioning" not in plan
+    assert rows(u.changed_rows(0)) == [(*r, 0) for r in rows(visits.to_df())]
+
+
+def test_footers_say_what_rows_say(spark, path):
+    """Statistics by footer against an aggregation over the rows."""
+    import json
+
+    t = Table.for_path(spark, path)
+    d = spark.createDataFrame(
+        [(k, float(k) if k % 5 else None, "é" * k, Decimal(k) / 7, dt.date(2020, 1, 1 + k), dt.datetime(2020, 1, 1, k), None, k % 2 == 0) for k in range(20)], "a long, b double, c string, m decimal(30,9), d date, z timestamp, n int, f boolean"
+    ).repartition(3)
+    write.append(t, d)
+    for f in t.update().files():
+        facts = write.file_stats(spark.read.parquet(f"{t.root}/{f.path}"), [], path.rsplit("/", 1)[1])
+        told, want = json.loads(f.stats, parse_float=Decimal), next(iter(facts.values()))
+        assert {k: told[k] for k in ("numRecords", "nullCount")} == {k: want[k] for k in ("numRecords", "nullCount")}
+        assert told["minValues"] == want["minValues"] and told["maxValues"] == want["maxValues"]
+    nan = Table.for_path(spark, path + "2")
+    write.append(nan, spark.createDataFrame([(float("nan"),), (1.0,)], "x double").coalesce(1))
+    assert json.loads(nan.update().files()[0].stats)["minValues"] == {} and nan.scan(E.EqualTo(E.Column("x", T.DoubleType()), E.Literal.of(1.0))).rows().count() == 1
 
 
 def test_special_partition_values(spark, path):
@@ -334,10 +368,34 @@ def test_large_files_are_dealt_out(spark, path):
     assert sum(b.num_rows for p in parts[:3] for b in source.read_part(p, schema, ())) == 50_000
 
 
-def test_data_source(spark, city):
+def test_bounded_batches(spark, path, tmp_path):
+    t = Table.for_path(spark, path)
+    for k in range(3):
+        write.append(t, spark.range(k * 10, k * 10 + 2).repartition(2))
+    o, ck = Table.for_path(spark, str(tmp_path / "o")), str(tmp_path / "ck")
+    stream = lambda **more: source.read_stream(spark, path, progressLocation=ck, **more)
+    assert sink.drain(stream(startingVersion=0, maxVersionsPerTrigger=1), o.root, "a", ck) == 3
+    assert [sum(1 for a in v.actions if isinstance(a, AddFile)) for v in o.changes(0)] == [2, 2, 2] and o.count() == 6
+    write.append(t, spark.range(2))
+    write.append(t, spark.range(2))
+    sink.write_stream(stream(startingVersion=0, maxVersionsPerTrigger=1), o.root, "a", ck).awaitTermination()  # a restart: one batch
+    assert o.count() == 8
+    p, ck = Table.for_path(spark, str(tmp_path / "p")), str(tmp_path / "ck2")
+    assert sink.drain(stream(maxFilesPerTrigger=4), p.root, "b", ck) == -(-len(t.update().files()) // 4) and p.count() == 10
+    with pytest.raises(errors.OptionError, match="progressLocation"):
+        source.read_stream(spark, path, maxFilesPerTrigger=4)
+
+
+def test_partition_columns_alone(spark, visits):
+    source.register(spark)
+    df = spark.read.format("tablelog").option("columns", "port").load(visits.root)
+    assert rows(df) == sorted([("oslo",)] * 3 + [("kobe",), ("lima",), ("bari",)])
+
+
+def test_data_source(spark, visits):
     source.register(spark)
-    df = spark.read.format("tablelog").load(city.root).where("city = 'hz' and cnt > 3")
-    assert rows(df.select("name")) == [("Jone",)]
-    assert spark.read.format("tablelog").option("versionAsOf", 0).option("columns", "cnt").load(city.root).columns == ["cnt"]
+    df = spark.read.format("tablelog").load(visits.root).where("port = 'oslo' and days > 12")
+    assert rows(df.select("ship")) == [("Lyra",)]
+    assert spark.read.format("tablelog").option("versionAsOf", 0).option("columns", "days").load(visits.root).columns == ["days"]
     with pytest.raises(Exception, match="doesn't go with"):
-        spark.read.format("tablelog").option("versionAsOf", 0).option("startingVersion", 0).load(city.root)
+        spark.read.format("tablelog").option("versionAsOf", 0).option("startingVersion", 0).load(visits.root)
