@@ -1,15 +1,20 @@
 """Approximate nearest neighbours: NN-descent builds a graph by Spark joins, queries walk it greedily.
 
-Equal vectors are one node. The graph starts from groups of near vectors (random hyperplanes, fitted on a sample whose size
-follows the depth; leaves are split on by planes of their own until a group has at most GROUP nodes): each node's nearest in its
-group are its first neighbours. Then rounds of NN-descent, until few neighbours change: a node's neighbours, of both directions,
-meet each other, and every node keeps the nearest it has met. A query starts at its own node and in each step looks at the
-neighbours of all nodes of its beam it hasn't looked at yet, until there are none; the beam widens with the number of nodes.
-What is returned is ranked by exact distances in double precision.
+Equal vectors are one node. Random hyperplanes, fitted on a sample whose size follows the depth, deal the nodes to leaves, in
+several trees; within a leaf, groups of at most GROUP nodes are compared, and each node's nearest START of every tree are its first
+neighbours. Then rounds of NN-descent, until few neighbours change: a node's neighbours, of both directions, meet each other, and
+every node keeps the nearest it has met. A query starts at its own node and in each step looks at the neighbours of all nodes of
+its beam it hasn't looked at yet, until there are none; the beam widens with the logarithm of the number of nodes. What is
+returned is ranked by exact distances in double precision.
+
+Meetings and steps happen at homes: one more tree gives every node a home of about HOME nodes. The lists of a home's nodes meet in
+one task, to which each vector that occurs in any of them is sent once, and which sends on only the nearest of what it found for a
+node, below the farthest that the node keeps anyway. A query's candidates are measured at the homes they live at, so a query's
+vector travels once a home, and homes that many queries ask are dealt out by query. So a hub's vector goes to as many homes as ask
+for it, not along every edge.
 
 Graph and walk see every vector as its column holds it, float or double, and compute in double precision around a group's
-centre, so near copies are told apart. A pair is passed on only if it is nearer than the farthest neighbour that one of the two
-keeps, so late rounds move little.
+centre, so near copies are told apart.
 """
 
 from __future__ import annotations
@@ -23,12 +28,15 @@ from pyspark.sql import functions as F
 
 from tablelog.llm.common import discard, integral, materialise
 
-#: Neighbours that a node keeps, neighbours of the other direction that take part, width of a query's beam up to BEAM_NODES nodes.
+#: Neighbours that a node keeps, neighbours of the other direction that take part, width of a query's beam at BEAM_NODES nodes.
 DEGREE, BACK, BEAM, BEAM_NODES = 32, 32, 128, 10_000
-#: Trees of the start, nodes of a group, least rows of the sample that the hyperplanes are fitted on, nodes of a leaf that a worker splits on.
-TREES, GROUP, SAMPLE, LEAF = 3, 256, 10_000, 8_192
+#: Trees of the start, nodes of a group, neighbours that a tree gives a node, least rows of the sample that the hyperplanes are
+#: fitted on, nodes of a leaf that a worker splits on, deepest tree (its sample is 16 rows a leaf).
+TREES, GROUP, START, SAMPLE, LEAF, DEEPEST = 8, 1024, 12, 10_000, 8_192, 13
+#: Nodes of a home, candidates that one task measures at a home.
+HOME, ASKED = 2048, 500_000
 #: The graph is done when a round changes less than this share of the neighbours.
-SETTLED = 0.01
+SETTLED = 0.02
 #: Salts that deal out one node's edges or one vector's copies before they are ranked.
 SALTS = 32
 
@@ -144,64 +152,99 @@ def _nearest_in(table: pa.Table, most: int) -> pa.Table:
     return pa.table({c: np.concatenate([o[k] for o in out]) for k, c in enumerate(("u", "w", "d"))})
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(u, w, v, far, new) sorted by u -> pairs (u, w, d) of one node's neighbours that are nearer than u's farthest."""
-    from tablelog.llm.jaccard_join import _runs
+def _best(pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray]], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, d) with each pair once and of each a only its nearest `most`: what else is found here is not among a's nearest."""
+    a, b, d = (np.concatenate([p[k] for p in pieces]) for k in range(3))
+    order = np.lexsort((b, d, a))
+    a, b, d = a[order], b[order], d[order]
+    # a pair's distance is measured around different centres: nearly equal, so copies of it stand close together, not always side by side
+    pair = np.lexsort((d, b, a))
+    first = np.r_[True, (a[pair][1:] != a[pair][:-1]) | (b[pair][1:] != b[pair][:-1])] if len(a) else np.zeros(0, bool)
+    kept = np.sort(pair[first])
+    a, b, d = a[kept], b[kept], d[kept]
+    starts = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.zeros(0, np.int64)
+    place = np.arange(len(a)) - np.repeat(starts, np.diff(np.r_[starts, len(a)]))
+    return a[place < most], b[place < most], d[place < most]
+
+
+def _meet(lists: pa.Table, told: pa.Table, degree: int) -> pa.Table:
+    """One home. lists: (h, u, w, new), the neighbours of its nodes; told: (at, x, xv, xfar), every vector in them once. Gives pairs
+    (u, w, d) of neighbours of one node that are nearer than u's farthest."""
+    told = told.sort_by("x")
+    known, x, far = told.column("x").to_numpy(), unpack(told.column("xv")), told.column("xfar").to_numpy()
+    owner, w, new = lists.column("u").to_numpy(), lists.column("w").to_numpy(), lists.column("new").to_numpy(zero_copy_only=False).astype(bool)
+    order = np.lexsort((w, owner))
+    owner, w, new = owner[order], w[order], new[order]
+    once = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (w[1:] != w[:-1])]) if len(w) else np.zeros(0, np.int64)
+    new = np.logical_or.reduceat(new, once) if len(once) else new  # a neighbour of both directions counts once
+    owner, w = owner[once], w[once]
+    at = np.searchsorted(known, w)
+    cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else np.zeros(1, np.int64)
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    out, count = [none], 0
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        i, fresh = at[a:b], new[a:b]
+        if b - a < 2 or not fresh.any():
+            continue
+        d = distances(x[i], x[i])
+        near = d < far[i][:, None]
+        np.fill_diagonal(near, False)
+        near[np.ix_(~fresh, ~fresh)] = False  # they have met before
+        p, q = np.nonzero(near)
+        out.append((known[i[p]], known[i[q]], d[p, q]))
+        count += len(p)
+        if count > 1_000_000:
+            out = [_best(out, degree)]
+            count = len(out[0][0]) // 2
+    return pa.table(dict(zip(("u", "w", "d"), _best(out, degree), strict=True)))
 
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    count = 0
 
-    def send() -> pa.RecordBatch:
-        a, b, d = (np.concatenate([o[k] for o in out]) for k in range(3))
-        order = np.lexsort((b, a))
-        a, b, d = a[order], b[order], d[order]
-        once = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
-        return pa.RecordBatch.from_arrays([pa.array(x[once]) for x in (a, b, d.astype(float))], names=["u", "w", "d"])
+def _trees(nodes: DataFrame, depth: int, seeds: range) -> list[list[tuple[np.ndarray, float]]]:
+    """Hyperplanes of so many trees, fitted on a sample by hash of the node."""
+    rows = nodes.select("u", "v").orderBy(F.xxhash64("u"), "u").limit(max(SAMPLE, 16 << depth)).select("v").toArrow()
+    sample = unpack(rows.column("v"))
+    return [_planes(sample, depth, seed) for seed in seeds]
 
-    for run in _runs(batches):
-        w, new, x, far = run.column("w").to_numpy(), run.column("new").to_numpy(zero_copy_only=False).astype(bool), unpack(run.column("v")), run.column("far").to_numpy()
-        if len(w) < 2 or not new.any():
-            continue
-        d = distances(x, x)
-        near = d < far[:, None]
-        np.fill_diagonal(near, False)
-        near[np.ix_(~new, ~new)] = False  # they have met before
-        i, j = np.nonzero(near)
-        out.append((w[i], w[j], d[i, j]))
-        count += len(i)
-        if count > 500_000:
-            yield send()
-            out, count = [], 0
-    if out:
-        yield send()
+
+def _dealt(nodes: DataFrame, trees: list[list[tuple[np.ndarray, float]]], depth: int, most: int) -> DataFrame:
+    """(u, v, leaf, part) in every tree; a leaf of more than `most` nodes is dealt out by hash, in each tree another way."""
+    leaves = nodes.select("u", "v").mapInArrow(lambda it: _leaves(it, trees, depth), "u long, v binary, leaf long")
+    sizes = leaves.groupBy("leaf").agg(F.ceil(F.count("*") / most).alias("parts"))  # trees * 2 ** depth rows at most
+    return leaves.join(F.broadcast(sizes), "leaf").withColumn("part", F.pmod(F.xxhash64("u", "leaf"), F.col("parts")))
+
+
+def at_homes(nodes: DataFrame) -> DataFrame:
+    """(u, v, h): nodes with their home, of HOME nodes or a little more."""
+    n = nodes.count()
+    depth = min(DEEPEST, max(0, int(np.ceil(np.log2(max(n, 1) / HOME)))))
+    dealt = _dealt(nodes, _trees(nodes, depth, range(1000, 1001)), depth, 2 * HOME)
+    return dealt.select("u", "v", F.xxhash64("leaf", "part").alias("h"))
 
 
 def build_graph(nodes: DataFrame, degree: int = DEGREE) -> DataFrame:
-    """(u, w, d): each node's nearest neighbours met, at most degree; d is about the squared distance. nodes: (u, v), packed."""
+    """(u, w, d): each node's nearest neighbours met, at most degree; d is about the squared distance. nodes: (u, v, h), packed."""
     n = nodes.count()
     depth = _depth(n)
-    # a sample, by hash of the node
-    sample = unpack(nodes.orderBy(F.xxhash64("u"), "u").limit(max(SAMPLE, 16 << depth)).select("v").toArrow().column("v"))
-    trees = [_planes(sample, depth, seed) for seed in range(TREES if depth else 1)]
-    leaves = nodes.select("u", "v").mapInArrow(lambda it: _leaves(it, trees, depth), "u long, v binary, leaf long")
-    sizes = leaves.groupBy("leaf").agg(F.ceil(F.count("*") / (4 * LEAF)).alias("parts"))
-    # a leaf too large for a worker is dealt out, in each tree another way
-    dealt = leaves.join(F.broadcast(sizes), "leaf").withColumn("part", F.pmod(F.xxhash64("u", "leaf"), F.col("parts")))  # at most TREES * 2 ** depth rows
-    found = dealt.groupBy("leaf", "part").applyInArrow(lambda t: _nearest_in(t, degree), "u long, w long, d double")
+    dealt = _dealt(nodes, _trees(nodes, depth, range(TREES if depth else 1)), depth, 4 * LEAF)
+    most = min(degree, START if depth else degree)
+    found = dealt.groupBy("leaf", "part").applyInArrow(lambda t: _nearest_in(t, most), "u long, w long, d double")
     # new: the edge's two ends have not met u's others; back_new: nor those of w
     graph = materialise(_kept(found.withColumns({"new": F.lit(True), "back_new": F.lit(True)}), degree), "graph")
     while True:  # every round but the last replaces neighbours by nearer ones, so there is a last
         turned = graph.select(F.col("w").alias("u"), F.col("u").alias("w"), F.col("back_new").alias("new"), "d")
         back = materialise(smallest(turned, ["u"], [F.desc("new"), "d", "w"], BACK).drop("_rank"), "back")
-        near = graph.select("u", "w", "new").unionByName(back.select("u", "w", "new")).groupBy("u", "w").agg(F.max("new").alias("new"))
+        near = graph.select("u", "w", "new").unionByName(back.select("u", "w", "new"))
+        lists = near.groupBy("u").agg(F.collect_list(F.struct("w", "new")).alias("l"), F.max("new").alias("any")).where("any")
+        lists = materialise(lists.join(nodes.select("u", "h"), "u").select("h", "u", F.explode("l").alias("l")).select("h", "u", "l.w", "l.new"), "lists")
         far = graph.groupBy("u").agg(F.when(F.count("*") >= degree, F.max("d")).otherwise(float("inf")).alias("far"))
-        told = nodes.join(far, "u", "left").select(F.col("u").alias("w"), "v", F.coalesce("far", F.lit(float("inf"))).alias("far"))
-        known = near.join(told, "w").select("u", "w", "v", "far", "new")
-        met = known.repartition("u").sortWithinPartitions("u").mapInArrow(_meet, "u long, w long, d double")
+        told = nodes.select(F.col("u").alias("w"), "v").join(far.withColumnRenamed("u", "w"), "w", "left").select("w", "v", F.coalesce("far", F.lit(float("inf"))).alias("far"))
+        asks = lists.select(F.col("h").alias("at"), F.col("w").alias("asked")).distinct()
+        told = asks.join(told, F.col("asked") == F.col("w")).select("at", F.col("asked").alias("x"), F.col("v").alias("xv"), F.col("far").alias("xfar"))
+        met = lists.groupBy("h").cogroup(told.groupBy("at")).applyInArrow(lambda a, b: _meet(a, b, degree), "u long, w long, d double")
         after = materialise(_kept(_after(graph, back, met), degree), "graph")
         moved = after.where("new").count()
-        discard(graph)
-        discard(back)
+        for old in (graph, back, lists):
+            discard(old)
         graph = after
         if moved <= SETTLED * degree * n:
             break
@@ -209,9 +252,9 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE) -> DataFrame:
 
 
 def _depth(n: int) -> int:
-    """Of the trees on the driver: to groups if SAMPLE allows it, else to leaves that workers split on, whatever n is."""
+    """Of the trees on the driver: to groups if SAMPLE allows it, else to leaves that workers split on; DEEPEST at most."""
     groups, leaves = (max(0, int(np.ceil(np.log2(max(n, 1) / x)))) for x in (0.75 * GROUP, LEAF))
-    return min(groups, max(leaves, int(np.log2(min(n, SAMPLE) / 16 + 1))))
+    return min(DEEPEST, groups, max(leaves, int(np.log2(min(n, SAMPLE) / 16 + 1))))
 
 
 def _after(graph: DataFrame, back: DataFrame, met: DataFrame) -> DataFrame:
@@ -228,10 +271,21 @@ def _kept(edges: DataFrame, degree: int) -> DataFrame:
     return once.withColumn("_rank", rank).where(F.col("_rank") <= degree).drop("_rank")
 
 
-def _approach(table: pa.Table, asked: pa.Table) -> pa.Table:
-    """One query's new nodes with about their distances."""
-    d = ((unpack(table.column("v")) - unpack(asked.column("qv"))[:1]) ** 2).sum(1) if table.num_rows and asked.num_rows else np.zeros(0)
-    return pa.table({"query": table.column("query"), "node": table.column("node"), "d": pa.array(d)}) if asked.num_rows else table.select(["query", "node"]).append_column("d", pa.nulls(0, pa.float64()))
+def _approach(pairs: pa.Table, told: pa.Table) -> pa.Table:
+    """One home, or a share of its queries. pairs: (g, query, node); told: (at, is_query, id, v, far), every vector once. Gives
+    (query, node, d) of nodes nearer than the farthest of a full beam."""
+    asks = np.array(told.column("is_query").to_numpy(zero_copy_only=False), bool)
+    ids, x, far = told.column("id").to_numpy(), unpack(told.column("v")), told.column("far").to_numpy()
+    query, node = pairs.column("query").to_numpy(), pairs.column("node").to_numpy()
+    places = []
+    for mine, wanted in ((asks, query), (~asks, node)):
+        rows = np.flatnonzero(mine)
+        rows = rows[np.argsort(ids[rows])]
+        places.append(rows[np.searchsorted(ids[rows], wanted)] if len(rows) else np.zeros(0, np.int64))
+    q, w = places
+    d = np.concatenate([((x[q[k : k + 20_000]] - x[w[k : k + 20_000]]) ** 2).sum(1) for k in range(0, len(q), 20_000)] or [np.zeros(0)])
+    near = d < far[q] if len(q) else np.zeros(0, bool)
+    return pa.table({"query": query[near], "node": node[near], "d": d[near]})
 
 
 def _measured(table: pa.Table, asked: pa.Table) -> pa.Table:
@@ -252,31 +306,49 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     rows = materialise(usable(vectors, id_col, vec_col), "vectors")
     classes = materialise(rows.groupBy("v").agg(F.min("id").alias("u")), "classes")
     width = 4 if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else 8
-    nodes = materialise(classes.select("u", "v").mapInArrow(lambda it: _packed(it, width), "u long, v binary"), "nodes")
-    beam = beam or int(BEAM * max(1, nodes.count() / BEAM_NODES) ** 0.5)
+    packed = materialise(classes.select("u", "v").mapInArrow(lambda it: _packed(it, width), "u long, v binary"), "packed")
+    nodes = materialise(at_homes(packed), "nodes")
+    discard(packed)
+    beam = beam or int(BEAM * max(1.0, np.log2(max(nodes.count(), 2)) / np.log2(BEAM_NODES)))
     of_node = rows.join(classes, "v").select("u", "id")
-    copies = smallest(of_node, ["u"], ["id"], k + 1)
     graph = build_graph(nodes, degree)
-    linked = graph.select("u", "w").unionAll(smallest(graph.select(F.col("w").alias("u"), F.col("u").alias("w"), "d"), ["u"], ["d", "w"], BACK).select("u", "w")).distinct()
-    linked = materialise(linked, "links")
+    turned = smallest(graph.select(F.col("w").alias("u"), F.col("u").alias("w"), "d"), ["u"], ["d", "w"], BACK)
+    linked = materialise(graph.select("u", "w").unionAll(turned.select("u", "w")).groupBy("u").agg(F.collect_set("w").alias("ws")), "links")
     wanted = queries.select(F.col(queries.columns[0]).cast("long").alias("id")).distinct()
     asked = materialise(wanted.join(of_node, "id").join(nodes, "u").select(F.col("id").alias("query"), "u", F.col("v").alias("qv")), "asked")
-    pair = "query long, node long, d double"
-    held = materialise(asked.select("query", F.col("u").alias("node"), F.lit(0.0).alias("d"), F.lit(False).alias("seen")), "beam")
-    while True:  # the beam only gets nearer, so it settles
-        fresh = held.where("not seen").join(linked, F.col("node") == F.col("u")).select("query", F.col("w").alias("node")).distinct().join(held.select("query", "node"), ["query", "node"], "left_anti")
-        fresh = fresh.join(nodes, F.col("node") == F.col("u")).select("query", "node", "v")
-        met = fresh.groupBy("query").cogroup(asked.select("query", "qv").groupBy("query")).applyInArrow(_approach, pair)
-        both = held.withColumn("seen", F.lit(True)).unionByName(met.withColumn("seen", F.lit(False)))
-        rank = F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))
-        after = materialise(both.withColumn("_rank", rank).where(F.col("_rank") <= beam).drop("_rank"), "beam")
+    # the beam begins with the query's node and that node's neighbours, whose distances the graph knows
+    own = asked.select("query", F.col("u").alias("node"), F.lit(0.0).alias("d"), F.lit(True).alias("seen"))
+    first = asked.join(graph, "u").select("query", F.col("w").alias("node"), "d", F.lit(False).alias("seen"))
+    held = materialise(own.unionAll(first), "beam")
+    while not held.where("not seen").isEmpty():  # the beam only gets nearer, so it settles
+        after = materialise(_step(held, linked, nodes, asked, beam), "beam")
         discard(held)
         held = after
-        if held.where("not seen").isEmpty():
-            break
     exact = held.select("query", "node").join(classes, F.col("node") == F.col("u")).select("query", "node", "v")
     own = asked.select("query", "u").join(classes, "u").select("query", F.col("v").alias("qv"))
-    measured = exact.groupBy("query").cogroup(own.groupBy("query")).applyInArrow(_measured, pair)
+    measured = exact.groupBy("query").cogroup(own.groupBy("query")).applyInArrow(_measured, "query long, node long, d double")
+    copies = smallest(of_node, ["u"], ["id"], k + 1)
     found = measured.join(copies, F.col("node") == F.col("u")).where("id <> query").select("query", "id", "d")
     rank = F.row_number().over(Window.partitionBy("query").orderBy("d", "id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), F.col("d").alias("score"))
+    out = materialise(found.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), F.col("d").alias("score")), "found")
+    for old in (rows, classes, nodes, graph, linked, asked, held):
+        discard(old)
+    return out
+
+
+def _step(held: DataFrame, linked: DataFrame, nodes: DataFrame, asked: DataFrame, beam: int) -> DataFrame:
+    """The beams after a look at the neighbours of all nodes that were not looked at. held: (query, node, d, seen)."""
+    fresh = held.where("not seen").join(linked, F.col("node") == F.col("u")).select("query", F.explode("ws").alias("node")).distinct()
+    fresh = fresh.join(held.select("query", "node"), ["query", "node"], "left_anti")
+    pairs = fresh.join(nodes.select(F.col("u").alias("node"), "h"), "node").select("h", "query", "node")
+    pairs = materialise(pairs, "pairs")
+    load = pairs.groupBy("h").agg(F.ceil(F.count("*") / ASKED).alias("parts"))
+    pairs_at = pairs.join(load, "h").select(F.xxhash64("h", F.pmod(F.xxhash64("query"), F.col("parts"))).alias("g"), "query", "node")
+    worst = held.groupBy("query").agg(F.when(F.count("*") >= beam, F.max("d")).otherwise(float("inf")).alias("far"))
+    minds = asked.select(F.col("query").alias("id"), F.col("qv").alias("v")).join(worst.withColumnRenamed("query", "id"), "id")
+    of_queries = pairs_at.select(F.col("g").alias("at"), F.col("query").alias("q")).distinct().join(minds, F.col("q") == F.col("id")).select("at", F.lit(True).alias("is_query"), "id", "v", "far")
+    of_nodes = pairs_at.select(F.col("g").alias("at"), F.col("node").alias("n")).distinct().join(nodes.select(F.col("u").alias("id"), "v"), F.col("n") == F.col("id")).select("at", F.lit(False).alias("is_query"), "id", "v", F.lit(0.0).alias("far"))
+    met = pairs_at.groupBy("g").cogroup(of_queries.unionAll(of_nodes).groupBy("at")).applyInArrow(_approach, "query long, node long, d double")
+    both = held.withColumn("seen", F.lit(True)).unionByName(met.withColumn("seen", F.lit(False)))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))
+    return both.withColumn("_rank", rank).where(F.col("_rank") <= beam).drop("_rank")

@@ -181,12 +181,30 @@ def test_neighbours_of_near_copies(spark):
 def test_neighbours_start_follows_size():
     for n in (1, 2, 500, 51_282, 10**6, 10**8):
         d = neighbours._depth(n)
-        assert n <= neighbours.LEAF << d or n <= neighbours.GROUP << d
+        assert d == neighbours.DEEPEST or d < neighbours.DEEPEST and (n <= neighbours.LEAF << d or n <= neighbours.GROUP << d)
     x = np.random.default_rng(1).normal(size=(5000, 8))
     groups = list(neighbours._groups(x, 3))
     assert max(map(len, groups)) <= neighbours.GROUP and sorted(np.concatenate(groups)) == list(range(5000))
 
 
+def test_best_of_a_home():
+    """Each pair once, of each node its nearest, whatever order and copies they come in."""
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 9, 400), rng.integers(0, 30, 400)
+    d = (a * 31 + b * 17) % 23 + 0.0
+    got = neighbours._best([(a[:100], b[:100], d[:100]), (a[100:], b[100:], d[100:])], 5)
+    want = sorted((x, y, z) for u in range(9) for x, z, y in sorted({(int(i), float(k), int(j)) for i, j, k in zip(a, b, d) if i == u})[:5])
+    assert sorted(zip(*(g.tolist() for g in got))) == want
+
+
+def test_meetings_give_no_loops(spark):
+    import pyarrow as pa
+
+    lists = pa.table({"h": [0] * 5, "u": [1, 1, 1, 2, 2], "w": [3, 4, 3, 4, 5], "new": [True, False, False, False, False]})
+    told = pa.table({"at": [0] * 3, "x": [5, 3, 4], "xv": neighbours.pack(np.array([[2.0], [0.0], [1.0]])), "xfar": [9.0] * 3})
+    assert neighbours._meet(lists, told, 8).to_pylist() == [{"u": 3, "w": 4, "d": 1.0}, {"u": 4, "w": 3, "d": 1.0}]
+
+
 def test_unmet_reverse_edges_stay_new(spark):
     """A hub takes BACK of its reverse edges in a round; the others are still to meet its neighbours."""
     many = neighbours.BACK + 7
