@@ -8,17 +8,24 @@ recorded. The template is
 
 (without the blank). Inside roles and texts a backslash is doubled, and one is put after the first character of every
 control string, so none of them occurs in formatted text unless the template wrote it; unescape() undoes both.
+
+A conversation's messages are gathered once, by its id, after a map-side combine; the walk over its parts and turns are windows
+and aggregations on the same partitioning, so they need no other exchange, and their cost grows as the conversation does (and its
+sort), not as its square.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Control strings of common chat templates that never pass through unescaped.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|")
 OPEN, BREAK, CLOSE = "<|turn|>", "\n", "<|end|>\n"
-PLACES = {"image": "<|image:{}|>", "audio": "<|audio:{}|>", "document": "<|document:{}|>"}
+#: Types of parts that become placeholders such as <|image:0|>.
+PLACES = ("image", "audio", "document")
+#: Code points of the pieces that formatted text is read back from.
+CHUNK = 4096
 _ESCAPED = r"\\|<(?=/?s>|</?SYS>>|\|)|\[(?=/?INST\])"
 _BLOCK = r"(?s)<\|turn\|>(.*?)\n(.*?)<\|end\|>\n"
 PART = "struct<type:string,text:string,ref:string,tokens:int>"
@@ -63,47 +70,40 @@ def format_chats(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     is_text = messages.schema[parts_col].dataType.typeName() == "string"
     parts = text_parts(F.col(parts_col)) if is_text else F.coalesce(F.col(parts_col), F.array().cast(f"array<{PART}>"))
     row = F.struct(F.col(turn_col).cast("long").alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), parts.cast(f"array<{PART}>").alias("parts"))
-    grouped = messages.select(F.col(conv_col), row.alias("_m")).groupBy(conv_col).agg(F.array_sort(F.collect_list("_m")).alias("_m"))
-    marked = F.array(*(F.lit(k) for k in PLACES))
-    attached = F.flatten(
-        F.transform("_m", lambda m, i: F.transform(F.filter(m.parts, lambda p: F.array_contains(marked, p.type)), lambda p: F.struct(i.cast("int").alias("turn_no"), p.type.alias("type"), p.ref.alias("ref"), F.coalesce(p.tokens, F.lit(0)).alias("tokens"))))
+    grouped = messages.select(F.col(conv_col).alias("_c"), row.alias("_m")).groupBy("_c").agg(F.sort_array(F.collect_list("_m")).alias("_m"))
+    turns = _visited(grouped.select("_c", F.posexplode("_m").alias("_i", "_m")).select("_c", "_i", "_m.role", "_m.parts"))
+    head = F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit(BREAK))
+    turns = turns.withColumns({"_head": F.length(head), "_block": F.concat(head, "content", F.lit(CLOSE))})
+    before = F.coalesce(F.sum(F.length("_block")).over(Window.partitionBy("_c").orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    turns = turns.withColumn("_at", (before + F.col("_head")).cast("long"))
+    span = F.when(F.col("role").isin(*learn), F.struct(F.col("_at").alias("start"), (F.col("_at") + F.length("content")).alias("end")))
+    whole = turns.groupBy("_c").agg(F.sort_array(F.collect_list(F.struct("_i", "role", "content", "_block", span.alias("span"), "attached"))).alias("_t"))
+    attachments = F.flatten(F.transform("_t", lambda t: t.attached))
+    return whole.select(
+        F.col("_c").alias(conv_col),
+        F.size("_t").cast("long").alias("n_turns"),
+        F.array_join(F.transform("_t", lambda t: t["_block"]), "").alias("formatted"),
+        F.transform("_t", lambda t: F.struct(t.role.alias("role"), t.content.alias("content"))).alias("turns"),
+        F.transform(F.filter("_t", lambda t: t.span.isNotNull()), lambda t: t.span).alias("loss_spans"),
+        attachments.alias("attachments"),
+        F.aggregate(attachments, F.lit(0).cast("long"), lambda n, a: n + a.tokens).alias("expanded_tokens"),
     )
 
-    def visit(parts: Column, first: Column) -> Column:
-        """(content, attachments so far): parts in order, texts escaped, others as numbered placeholders."""
-
-        def step(done: Column, p: Column) -> Column:
-            other = F.array_contains(marked, F.coalesce(p.type, F.lit("")))
-            place = F.concat(F.lit("<|"), p.type, F.lit(":"), done.n.cast("string"), F.lit("|>"))
-            return F.struct(F.concat(done.content, F.when(other, place).otherwise(escape(p.text))).alias("content"), (done.n + F.when(other, 1).otherwise(0)).alias("n"))
-
-        return F.aggregate(parts, F.struct(F.lit("").alias("content"), first.cast("int").alias("n")), step)
-
-    flat = grouped.select(conv_col, "_m", attached.alias("attachments"))
-    if is_text:  # nothing to number: each turn stands alone
-        turns = F.transform("_m", lambda m: F.struct(m.role.alias("role"), escape(m.parts[0].text).alias("content")))
-    else:
-        numbered = F.transform("_m", lambda m, i: F.struct(m.role.alias("role"), visit(m.parts, F.size(F.filter("attachments", lambda a: a.turn_no < i))).content.alias("content")))
-        turns = numbered
-    flat = flat.select(conv_col, "attachments", turns.alias("turns"))
-    block = lambda t: F.concat(F.lit(OPEN), escape_role(t.role), F.lit(BREAK), t.content, F.lit(CLOSE))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,end:long>>").alias("spans"))
-
-    def advance(done: Column, t: Column) -> Column:
-        begin = done.at + F.length(F.concat(F.lit(OPEN), escape_role(t.role), F.lit(BREAK)))
-        end = begin + F.length(t.content)
-        span = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        return F.struct((end + len(CLOSE)).cast("long").alias("at"), F.when(t.role.isin(*learn), F.concat(done.spans, span)).otherwise(done.spans).alias("spans"))
-
-    return flat.select(
-        conv_col,
-        F.size("turns").cast("long").alias("n_turns"),
-        F.array_join(F.transform("turns", block), "").alias("formatted"),
-        "turns",
-        F.aggregate("turns", start, advance).spans.alias("loss_spans"),
-        "attachments",
-        F.aggregate("attachments", F.lit(0).cast("long"), lambda n, a: n + a.tokens).alias("expanded_tokens"),
+
+def _visited(turns: DataFrame) -> DataFrame:
+    """The visitor: (_c, _i, role, parts) -> (_c, _i, role, content, attached). It walks all parts of a conversation in order,
+    one row each: a text is escaped, any other part becomes a placeholder with its place among those so far."""
+    part = turns.select("_c", "_i", "role", F.posexplode_outer("parts").alias("_k", "_p"))
+    part = part.withColumn("_other", F.coalesce(F.col("_p.type"), F.lit("")).isin(*PLACES))
+    so_far = Window.partitionBy("_c").orderBy("_i", "_k").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.coalesce(F.sum(F.col("_other").cast("int")).over(so_far), F.lit(0))
+    place = F.concat(F.lit("<|"), F.col("_p.type"), F.lit(":"), number.cast("string"), F.lit("|>"))
+    part = part.withColumn("_piece", F.when(F.col("_other"), place).otherwise(escape(F.col("_p.text"))))
+    kept = F.struct(F.col("_i").alias("turn_no"), F.col("_p.type").alias("type"), F.col("_p.ref").alias("ref"), F.coalesce("_p.tokens", F.lit(0)).alias("tokens"))
+    visited = part.groupBy("_c", "_i", "role").agg(
+        F.sort_array(F.collect_list(F.struct("_k", "_piece"))).alias("_pieces"), F.sort_array(F.collect_list(F.when(F.col("_other"), F.struct("_k", kept.alias("a"))))).alias("_a")
     )
+    return visited.select("_c", "_i", "role", F.array_join(F.transform("_pieces", lambda x: x["_piece"]), "").alias("content"), F.transform("_a", lambda x: x.a).alias("attached"))
 
 
 def read_back(formatted: Column) -> Column:
@@ -113,9 +113,25 @@ def read_back(formatted: Column) -> Column:
     return F.zip_with(heads, bodies, lambda r, t: F.struct(unescape_role(r).alias("role"), unescape(t).alias("text")))
 
 
+def chunks(text: Column) -> Column:
+    """A text in pieces of CHUNK code points, so a span of it is found without a walk from its start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def _let(value: Column, then) -> Column:
+    """then(value), with the value worked out once however often then() names it."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def masked(formatted: Column, spans: Column) -> Column:
     """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, (s.start + 1).cast("int"), (s.end - s.start).cast("int")))), "")
+
+    def cut(pieces: Column, s: Column) -> Column:
+        first = F.floor(s.start / CHUNK).cast("int")
+        held = F.array_join(F.slice(pieces, first + 1, F.floor(s.end / CHUNK).cast("int") - first + 1), "")
+        return unescape(F.substring(held, (s.start - first * CHUNK + 1).cast("int"), (s.end - s.start).cast("int")))
+
+    return _let(chunks(formatted), lambda pieces: F.array_join(F.transform(spans, lambda s: cut(pieces, s)), ""))
 
 
 def digest(chats: DataFrame, conv_col: str = "conv_id") -> DataFrame:

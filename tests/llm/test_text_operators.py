@@ -273,9 +273,24 @@ def test_chat_parts(spark):
     assert empty.count() == 0
 
 
+def test_long_chats(spark):
+    """20,000 turns, a text of a million code points, a message of 5,000 parts: their cost isn't the square of that."""
+    many = spark.range(20_000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("<s> é😀 "), F.col("id")).alias("text"))
+    long = "ab\\ <s>é😀" * 100_000
+    rows = many.unionAll(spark.createDataFrame([(2, 0, "user", None), (2, 1, "assistant", long)], "conv_id long, turn long, role string, text string"))
+    got = {r.conv_id: r for r in chat_format.digest(chat_format.format_chats(rows, parts_col="text")).collect()}
+    learned = "".join(f"<s> é😀 {k}" for k in range(1, 20_000, 2))
+    assert got[1].n_turns == 20_000 and got[1].loss_sha256 == hashlib.sha256(learned.encode()).hexdigest()
+    assert got[2].loss_chars == len(long) and got[2].loss_sha256 == hashlib.sha256(long.encode()).hexdigest()
+    parts = [("text", "<", None, None) if k % 2 else ("image", None, str(k), 1) for k in range(5000)]
+    one = chat_format.format_chats(spark.createDataFrame([(1, 0, "user", parts)], f"conv_id long, turn long, role string, parts array<{chat_format.PART}>")).first()
+    assert one.turns[0].content == "".join(f"<|image:{k}|><" for k in range(2500)) and [a.ref for a in one.attachments] == [str(k) for k in range(0, 5000, 2)] and one.expanded_tokens == 2500
+
+
 def test_chat_ties_and_repeats(spark):
     rows = [(1, 0, "b", "y"), (1, 0, "a", "x"), (1, 0, "a", "x"), (1, None, None, None)]
     r = chat_format.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), parts_col="text").first()
     assert [(t.role, t.content) for t in r.turns] == [("", ""), ("a", "x"), ("a", "x"), ("b", "y")]
     plan = chat_format.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), parts_col="text")._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+    assert "Python" not in plan and "Arrow" not in plan and plan.count("Exchange") == 1
+    assert "posexplode(parts" in plan  # a plain text goes through the visitor as well
