@@ -5,13 +5,16 @@ pi * R_p(+) + max(0, R_u(-) - pi * R_p(-)) corrects the unlabelled part for the
 prior, is the share of toxic rows among the labelled ones of the training folds (or a parameter). When the bracket falls
 below zero, the step goes against it instead, as the non-negative estimator prescribes.
 
-Inputs of a score are the text's distinct lower-case words and their beginnings of 3 to 5 letters, hashed. Scoring is one
-narrow pass over whole texts; only the bounded training sample and the model (FEATURES weights) visit the driver.
+Inputs of a score are the text's distinct lower-case words and their beginnings of 3 to 5 letters, hashed. The unlabelled texts
+are those of the labelled rows, their labels put aside: a bounded sample of labelled rows (MAX_POSITIVE, MAX_UNLABELLED), each
+text whole. How often an input occurs in them is counted by partitions; then only the FEATURES inputs that tell most are brought
+to the driver. Scoring is one narrow pass over whole texts.
 """
 
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -26,12 +29,13 @@ from tablelog.llm.common import bounded_batches
 
 #: Hash buckets of the inputs.
 BUCKETS = 1 << 20
-#: Bounds of the training sample: rows, and distinct inputs of one text (a longer text gives a hash sample of its inputs).
-MAX_POSITIVE, MAX_UNLABELLED, MAX_INPUTS = 3000, 9000, 4096
+#: Bounds of the training sample, in labelled rows: confirmed positives, and rows whose labels are put aside.
+MAX_POSITIVE, MAX_UNLABELLED = 3000, 9000
 #: Inputs that the model keeps: those that tell positives from unlabelled text best.
 FEATURES = 300
-#: Information (nats) that an input must carry: about what the best of some thousand inputs without meaning reach by chance.
-LEAST_GAIN = 8.0
+#: Information (nats) that an input should carry: about what the best of some thousand inputs without meaning reach by chance.
+#: Where none does, the FEW best are taken, with a warning.
+LEAST_GAIN, FEW = 8.0, 20
 #: The score of the median unlabelled text.
 CLEAR = 0.002
 WORD = re.compile(r"[^\W\d_]+")
@@ -77,16 +81,19 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def select_inputs(p: list[np.ndarray], u: list[np.ndarray], keep: int) -> np.ndarray:
-    """The buckets whose presence carries most information about positive against unlabelled."""
-    a = np.bincount(np.concatenate(p), minlength=BUCKETS) if p else np.zeros(BUCKETS)
-    b = np.bincount(np.concatenate(u), minlength=BUCKETS) if u else np.zeros(BUCKETS)
-    pa_, pb = (a + 0.1) / (len(p) + 0.2), (b + 0.1) / (len(u) + 0.2)
-    m = (pa_ * len(p) + pb * len(u)) / max(len(p) + len(u), 1)
-    gain = len(p) * (pa_ * np.log(pa_ / m) + (1 - pa_) * np.log((1 - pa_) / (1 - m))) + len(u) * (pb * np.log(pb / m) + (1 - pb) * np.log((1 - pb) / (1 - m)))
+def select_inputs(a: np.ndarray, b: np.ndarray, n_positive: int, n_unlabelled: int, keep: int = FEATURES) -> np.ndarray:
+    """The buckets whose presence carries most information about positive against unlabelled. a, b: texts of either kind that
+    have the bucket."""
+    pa_, pb = (a + 0.1) / (n_positive + 0.2), (b + 0.1) / (n_unlabelled + 0.2)
+    m = (pa_ * n_positive + pb * n_unlabelled) / max(n_positive + n_unlabelled, 1)
+    gain = n_positive * (pa_ * np.log(pa_ / m) + (1 - pa_) * np.log((1 - pa_) / (1 - m))) + n_unlabelled * (pb * np.log(pb / m) + (1 - pb) * np.log((1 - pb) / (1 - m)))
     gain[a < 2] = 0  # in one positive only: chance
     order = np.argsort(-gain, kind="stable")[:keep]
-    return np.sort(order[gain[order] > LEAST_GAIN])
+    clear = order[gain[order] > LEAST_GAIN]
+    if not len(clear):
+        clear = order[gain[order] > 0][:FEW]
+        warnings.warn(f"{n_positive} positive and {n_unlabelled} unlabelled texts show no input that tells them apart for sure; the best {len(clear)} are taken", stacklevel=2)
+    return np.sort(clear)
 
 
 def matrix(rows: list[np.ndarray], kept: np.ndarray) -> np.ndarray:
@@ -98,12 +105,25 @@ def matrix(rows: list[np.ndarray], kept: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, keep: int = FEATURES, epochs: int = 60, batch: int = 1000, rate: float = 0.03, decay: float = 1e-4, seed: int = 7) -> Model:
-    """Fit by Adam on the non-negative risk with the logistic loss. Without positives every score is near 0."""
+def risk(w: np.ndarray, b: float, xp: np.ndarray, xu: np.ndarray, prior: float, decay: float) -> tuple[float, float, np.ndarray]:
+    """The non-negative risk with the logistic loss (and the weights' penalty), its corrected negative part before the cut at 0,
+    and the direction to step against: the risk's gradient, or, where that part is below 0, minus that part's gradient."""
+    sp, su = sigmoid(xp @ w + b), sigmoid(xu @ w + b)
+    # logistic loss: l(+) = -log s, l(-) = -log(1 - s); d l(+)/dz = s - 1, d l(-)/dz = s
+    negative = -np.log(1 - su + 1e-12).mean() + prior * np.log(1 - sp + 1e-12).mean()
+    gp, gu = (prior * (sp - 1) - prior * sp, su) if negative >= 0 else (prior * sp, -su)
+    value = -prior * np.log(sp + 1e-12).mean() + max(negative, 0.0) + decay * (w @ w) / 2
+    return float(value), float(negative), np.append(xp.T @ gp / len(xp) + xu.T @ gu / len(xu) + decay * w, gp.mean() + gu.mean())
+
+
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, kept: np.ndarray | None = None, epochs: int = 60, batch: int = 1000, rate: float = 0.03, decay: float = 1e-4, seed: int = 7) -> Model:
+    """Fit by Adam on the non-negative risk. kept: the buckets to use; None selects them here. Without positives every score is
+    near 0."""
     if not positive or not unlabelled:
         return Model({}, -4.0)
     prior = float(np.clip(prior, 1e-3, 0.9))
-    kept = select_inputs(positive, unlabelled, keep)
+    if kept is None:
+        kept = select_inputs(*(np.bincount(np.concatenate(x).astype(np.int64), minlength=BUCKETS) for x in (positive, unlabelled)), len(positive), len(unlabelled))
     if not len(kept):
         return Model({}, float(np.log(prior / (1 - prior))))
     xp, xu = matrix(positive, kept), matrix(unlabelled, kept)
@@ -113,15 +133,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     n_batches = max(1, -(-len(xu) // batch))
     for epoch in range(epochs):
         for iu, ip in zip(np.array_split(rng.permutation(len(xu)), n_batches), np.array_split(rng.permutation(max(len(xp), n_batches)) % len(xp), n_batches), strict=True):
-            bp, bu = xp[ip], xu[iu]
-            sp, su = sigmoid(bp @ w + b), sigmoid(bu @ w + b)
-            # logistic loss: d l(+)/dz = s - 1, d l(-)/dz = s
-            negative = -np.log(1 - su + 1e-12).mean() + prior * np.log(1 - sp + 1e-12).mean()
-            if negative >= 0:
-                gp, gu = prior * (sp - 1) - prior * sp, su
-            else:
-                gp, gu = prior * sp, -su
-            g = np.append(bp.T @ gp / len(bp) + bu.T @ gu / len(bu) + decay * w, gp.mean() + gu.mean())
+            _, _, g = risk(w, b, xp[ip], xu[iu], prior, decay)
             step += 1
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             d = rate * (1 - epoch / epochs) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -136,17 +148,36 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return Model({int(k): float(x) for k, x in zip(kept, w, strict=True)}, float(b), float(centre), float(min(slope, 50)))
 
 
-def _inputs_of(df: DataFrame) -> DataFrame:
-    """is_positive and the distinct inputs of each text."""
+def _counted(sample: DataFrame) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """Positive and unlabelled texts, and of each kind the texts that have a bucket; added up by partitions."""
+    schema = "k int, a long, b long"
+
+    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = Inputs(), np.zeros((2, BUCKETS + 1), np.int64)
+        for batch in batches:
+            for is_positive, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                row = counts[0 if is_positive else 1]
+                row[list(distinct_inputs(x.as_py() or "", known))] += 1
+                row[BUCKETS] += 1  # the number of texts
+        at = np.flatnonzero(counts.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[0, at]), pa.array(counts[1, at])], names=["k", "a", "b"])
+
+    bounded_batches(sample.sparkSession)
+    got = sample.mapInArrow(f, schema).groupBy("k").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toArrow()  # BUCKETS + 1 rows at most
+    out = np.zeros((2, BUCKETS + 1), np.int64)
+    at = np.array(got.column("k"), np.int64)
+    out[0, at], out[1, at] = np.array(got.column("a"), np.int64), np.array(got.column("b"), np.int64)
+    return int(out[0, BUCKETS]), int(out[1, BUCKETS]), out[0, :BUCKETS], out[1, :BUCKETS]
+
+
+def _inputs_of(df: DataFrame, kept: set[int]) -> DataFrame:
+    """is_positive and those of the text's inputs that are in kept."""
     schema = T.StructType([T.StructField("is_positive", T.BooleanType()), T.StructField("inputs", T.ArrayType(T.IntegerType()))])
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Inputs()
+        known = Inputs(kept)
         for batch in batches:
-            rows = []
-            for x in batch.column(1):
-                r = sorted(distinct_inputs(x.as_py() or "", known))
-                rows.append(r if len(r) <= MAX_INPUTS else sorted(r, key=lambda k: (k * 2654435761) % (1 << 32))[:MAX_INPUTS])
+            rows = [sorted(distinct_inputs(x.as_py() or "", known)) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], names=schema.names)
 
     bounded_batches(df.sparkSession)
@@ -154,7 +185,8 @@ def _inputs_of(df: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", prior: float | None = None, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> Model:
-    """Train on at most max_positive confirmed rows and max_unlabelled texts, picked by hash of the id.
+    """Train on at most max_positive confirmed rows and the texts of at most max_unlabelled labelled rows of either label, picked
+    by hash of the id.
 
     labels: id and 0/1 label of the rows to learn from; the caller leaves out what is held out. Rows with a null id or label
     are passed over; of contradictory labels the larger counts. prior: None takes the share of toxic among labels.
@@ -164,18 +196,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         prior = known.agg(F.avg("_label")).first()[0] or 0.0
     base = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     positive = known.where("_label = 1").orderBy(F.xxhash64("_id"), "_id").limit(max_positive).select("_id")
-    others = base.select("_id").orderBy(F.xxhash64("_id", F.lit(1)), "_id").limit(max_unlabelled)
+    others = known.orderBy(F.xxhash64("_id", F.lit(1)), "_id").limit(max_unlabelled).select("_id")
     # both sides are bounded by their limits: at most max_positive and max_unlabelled ids are broadcast
     sample = base.join(F.broadcast(positive), "_id", "left_semi").select(F.lit(True), "_text").unionAll(base.join(F.broadcast(others), "_id", "left_semi").select(F.lit(False), "_text"))
+    n_positive, n_unlabelled, a, b = _counted(sample)
+    if not n_positive or not n_unlabelled:
+        return train([], [], prior)
+    kept = select_inputs(a, b, n_positive, n_unlabelled)
     got: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
     rows = []
-    for batch in _inputs_of(sample).toArrow().to_batches():  # stays packed: Python lists would take ten times the memory
+    for batch in _inputs_of(sample, set(kept.tolist())).toArrow().to_batches():  # FEATURES inputs a row at most
         flat, cuts = batch.column(1).flatten().to_numpy(), np.cumsum([0, *pc.list_value_length(batch.column(1)).to_pylist()])
-        rows += [(p, flat[a:b]) for p, a, b in zip(batch.column(0).to_pylist(), cuts, cuts[1:], strict=False)]
+        rows += [(p, flat[i:j]) for p, i, j in zip(batch.column(0).to_pylist(), cuts, cuts[1:], strict=False)]
     for is_positive, inputs in sorted(rows, key=lambda r: (r[0], r[1].tobytes())):
-        if len(got[is_positive]) < (max_positive if is_positive else max_unlabelled):  # repeated ids may give more rows
-            got[is_positive].append(inputs)
-    return train(got[1], got[0], prior)
+        got[is_positive].append(inputs)
+    return train(got[1], got[0], prior, kept)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
