@@ -3,7 +3,8 @@
 Each text becomes STATISTICS numbers (shares of character classes, word and line shapes, repetition). Random Fourier
 features sqrt(2 / D) cos(Wx + b) approximate a Gaussian kernel over the standardised numbers. Every partition sums its part
 of the normal equations (ZᵀZ, Zᵀy); the sums, D x D numbers whatever the input, meet on the driver and give the ridge
-weights. Pool-adjacent-violators over the training scores, summed into SCORE_BINS bins, makes the scores probabilities.
+weights. Pool-adjacent-violators over the scores of labelled rows kept back from the fit (one in HELD_BACK, by hash of the id),
+summed into SCORE_BINS bins, makes the scores probabilities.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from tablelog.llm.common import bounded_batches, edit_batches
 
 #: Random features, ridge penalty, kernel width (in standard deviations), bins of the calibration.
 D, RIDGE, WIDTH, SCORE_BINS = 256, 1.0, 3.0, 1000
-#: Bound of the training sample.
-MAX_ROWS = 20_000
+#: Bound of the training sample; one row in so many is kept back for the calibration.
+MAX_ROWS, HELD_BACK = 20_000, 4
 _CLASSES = np.zeros((256, 10))
 for _b in range(256):
     _c = chr(_b)
@@ -147,8 +148,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_label")).dropna().groupBy("_id").agg(F.max("_label").alias("_label"))
     picked = known.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
     # at most max_rows ids: a bounded broadcast
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_id").select("_text", "_label")
-    rows = _with_statistics(rows, 0, [T.StructField("_label", T.DoubleType())]).select("stats", "_label").persist()
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_id")
+    rows = rows.select("_text", "_label", (F.pmod(F.xxhash64("_id", F.lit("calibrate")), F.lit(HELD_BACK)) == 0).alias("_back"))
+    rows = _with_statistics(rows, 0, [T.StructField("_label", T.DoubleType()), T.StructField("_back", T.BooleanType())]).select("stats", "_label", "_back").persist()
     try:
         first = _summed(rows, lambda x, y: np.vstack([x.sum(0), (x * x).sum(0), np.full(STATISTICS, len(x)), np.full(STATISTICS, y.sum())]), STATISTICS)
         rng = np.random.default_rng(seed)
@@ -164,14 +166,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             z = model.features(x)
             return np.hstack([z.T @ z, (z.T @ y)[:, None]])
 
-        sums = _summed(rows, equations, D + 2)
+        fitted, back = rows.where("not _back"), rows.where("_back")
+        if fitted.isEmpty() or back.isEmpty():  # too few to part
+            fitted = back = rows
+        sums = _summed(fitted, equations, D + 2)
         model.ridge = np.linalg.solve(sums[:, :-1] + RIDGE * np.diag([1.0] * D + [0.0]) + 1e-9 * np.eye(D + 1), sums[:, -1])
 
         def binned(x: np.ndarray, y: np.ndarray) -> np.ndarray:
             at = np.clip((model.raw(x) + 0.5) / 2 * SCORE_BINS, 0, SCORE_BINS - 1).astype(int)
             return np.vstack([np.bincount(at, minlength=SCORE_BINS), np.bincount(at, y, SCORE_BINS)])
 
-        seen, good = _summed(rows, binned, SCORE_BINS)
+        seen, good = _summed(back, binned, SCORE_BINS)
         full = np.flatnonzero(seen)
         model.steps, model.levels = (full + 0.5) / SCORE_BINS * 2 - 0.5, isotonic(good[full] / seen[full], seen[full])
         return model
