@@ -247,6 +247,11 @@ def _facts(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordB
         yield repeated()
 
 
+def _entry(a: np.ndarray, ranges: int) -> np.ndarray:
+    """What a prefix entry is known by: its range, and its low 32 bits."""
+    return ((a >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)) << np.uint64(32) | a & np.uint64(0xFFFFFFFF)
+
+
 def _prefixes(batches: Iterator[pa.RecordBatch], heavy: np.ndarray, counts: np.ndarray, ranges: int, words: int, percent: int) -> Iterator[pa.RecordBatch]:
     known, seen = WordHash(), set()
     keys: list[np.ndarray] = []
@@ -273,7 +278,12 @@ def _prefixes(batches: Iterator[pa.RecordBatch], heavy: np.ndarray, counts: np.n
                 at = np.searchsorted(heavy, a)
                 at[at == len(heavy)] = 0
                 weight = np.where(heavy[at] == a, counts[at], 0)
-            first = a[np.lexsort((a, weight))[: prefix_length(len(a), percent)]]
+            ranked, want = a[np.lexsort((a, weight))], prefix_length(len(a), percent)
+            size = want
+            # entries are told apart by range and 32 bits: where two of a prefix agree in both, it takes one more for each
+            while size < len(a) and (distinct := len(np.unique(_entry(ranked[:size], ranges)))) < want:
+                size = min(len(a), size + want - distinct)
+            first = ranked[:size]
             keys.append(first)
             numbers.append(np.full(len(first), s, np.int64))
             held += len(first)
@@ -440,9 +450,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows of one id are one document: of those that stay, the row with the smallest text (nulls first). Rows with a null id
     can't be told apart by id and all stay.
     """
-    kept = classes(docs, id_col, text_col, words, percent).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()
-    order = F.row_number().over(Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first()))
-    named = docs.join(kept, F.col(id_col) == F.col("_kept"), "left_semi").withColumn("_row_of_id", order).where("_row_of_id = 1").drop("_row_of_id")
+    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    kept = classes(plain, words=words, percent=percent).where("doc_id = component_id").select(F.col("doc_id").alias("k")).distinct()
+    # the row travels as a struct, so no column of docs can clash with a name used here
+    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    order = F.row_number().over(Window.partitionBy("i").orderBy(F.col("t").asc_nulls_first()))
+    named = rows.join(kept, F.col("i") == F.col("k"), "left_semi").withColumn("n", order).where("n = 1").select("row.*")
     return named.unionAll(docs.where(F.col(id_col).isNull()))
 
 
