@@ -8,6 +8,7 @@ decides, so a passage whose sentences were put in another order is caught as wel
 
 from __future__ import annotations
 
+import heapq
 import string
 from collections import defaultdict
 from collections.abc import Iterator
@@ -62,42 +63,42 @@ def free_runs(marked: bytearray, spans: list[tuple[int, int]]) -> list[tuple[int
 
 
 def tile(item: list[int], doc: list[int], spans: list[tuple[int, int]], shortest: int) -> list[tuple[int, int, int]]:
-    """Tiles (item position, document position, length), longest first; within spans of the document, none overlapping."""
-    prints, prints_doc = Fingerprints(item), {a: Fingerprints(doc[a:b]) for a, b in spans}
-    in_item, in_doc, tiles = bytearray(len(item)), bytearray(len(doc)), []
-    first_of = {}
+    """Tiles (item position, document position, length) within spans of the document, none overlapping: the longest common run
+    first, of equal ones that with the smaller item position, then document position; again and again, over what is unmarked.
+
+    Runs are found once, by running fingerprints of `shortest` tokens, and wait in a heap. One that is met partly marked gives
+    way to the pieces of it that are still free, which is what a new search along its diagonal would find.
+    """
+    prints = Fingerprints(item)
+    places: dict[int, list[int]] = defaultdict(list)
+    for p in range(len(item) - shortest + 1):
+        places[prints.of(p, shortest)].append(p)
+    heap: list[tuple[int, int, int]] = []
     for a, b in spans:
-        for t in range(a, b):
-            first_of[t] = a
-    length = max(shortest, min(len(item), max((b - a for a, b in spans), default=0)))
-    while True:
-        places: dict[int, list[int]] = defaultdict(list)
-        for a, b in free_runs(in_item, [(0, len(item))]):
-            for p in range(a, b - length + 1):
-                places[prints.of(p, length)].append(p)
-        found: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        if places:
-            for a, b in free_runs(in_doc, spans):
-                own, start = prints_doc[first_of[a]], first_of[a]
-                for t in range(a, b - length + 1):
-                    for p in places.get(own.of(t - start, length), ()):
-                        if p and t > a and not in_item[p - 1] and item[p - 1] == doc[t - 1]:
-                            continue  # part of a longer run that starts before
-                        n = 0
-                        while p + n < len(item) and t + n < b and item[p + n] == doc[t + n] and not in_item[p + n]:
-                            n += 1
-                        if n >= length:
-                            found[n].append((p, t))
-        for n in sorted(found, reverse=True):
-            for p, t in found[n]:
-                if in_item.find(1, p, p + n) < 0 and in_doc.find(1, t, t + n) < 0:
-                    in_item[p : p + n], in_doc[t : t + n] = b"\1" * n, b"\1" * n
-                    tiles.append((p, t, n))
-        if found and max(found) >= shortest and any(in_item.find(1, p, p + n) >= 0 and not all(in_item[p : p + n]) for n, xs in found.items() for p, _ in xs):
-            continue  # what was overlapped may still hold a shorter run of this length
-        if length == shortest or all(in_item):
-            return tiles
-        length = max(shortest, length // 2 if length > 2 * shortest else shortest)
+        own = Fingerprints(doc[a:b])
+        for t in range(a, b - shortest + 1):
+            for p in places.get(own.of(t - a, shortest), ()):
+                if p and t > a and item[p - 1] == doc[t - 1]:
+                    continue  # part of a longer run that starts before
+                n = 0
+                while p + n < len(item) and t + n < b and item[p + n] == doc[t + n]:
+                    n += 1
+                if n >= shortest:
+                    heap.append((-n, p, t))
+    heapq.heapify(heap)
+    in_item, in_doc, tiles = bytearray(len(item)), bytearray(len(doc)), []
+    while heap:
+        n, p, t = heapq.heappop(heap)
+        n = -n
+        if in_item.find(1, p, p + n) < 0 and in_doc.find(1, t, t + n) < 0:
+            in_item[p : p + n], in_doc[t : t + n] = b"\1" * n, b"\1" * n
+            tiles.append((p, t, n))
+            continue
+        for a, b in free_runs(in_item, [(p, p + n)]):
+            for c, d in free_runs(in_doc, [(t + a - p, t + b - p)]):
+                if d - c >= shortest:
+                    heapq.heappush(heap, (c - d, p + c - t, c))
+    return tiles
 
 
 class Items:
