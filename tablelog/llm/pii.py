@@ -340,8 +340,9 @@ def scan(text: str, field: Field) -> list[tuple[int, int, int, bool]]:
     return sorted(out)
 
 
-def find_pii(docs: DataFrame, weights: dict[tuple[str, int], float] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: the id, pii (array of start, end, kind, base) and redacted (each span as [KIND]).
+def find_pii(docs: DataFrame, weights: dict[tuple[str, int], float] | None = None, id_col: str = "doc_id", text_col: str = "text", redacted: bool = True) -> DataFrame:
+    """One row per input row: the id, pii (array of start, end, kind, base) and, unless redacted is false, the text redacted, each
+    span as [KIND].
 
     weights: of a trained Field; None trains on labelled_sentences(). Null text counts as empty: no spans, redacted ''.
     A null id stays null; repeated rows give repeated rows; an empty table gives an empty result; other columns are neither
@@ -350,7 +351,7 @@ def find_pii(docs: DataFrame, weights: dict[tuple[str, int], float] | None = Non
     weights = dict(trained() if weights is None else weights)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("base", pa.bool_())]))
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("kind", T.StringType()), T.StructField("base", T.BooleanType())])
-    schema = T.StructType([docs.schema[id_col], T.StructField("pii", T.ArrayType(span)), T.StructField("redacted", T.StringType())])
+    schema = T.StructType([docs.schema[id_col], T.StructField("pii", T.ArrayType(span)), *([T.StructField("redacted", T.StringType())] if redacted else [])])
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = Field()
@@ -361,8 +362,9 @@ def find_pii(docs: DataFrame, weights: dict[tuple[str, int], float] | None = Non
                 text = x.as_py() or ""
                 found = scan(text, field)
                 spans.append([{"start": a, "end": b, "kind": KINDS[k], "base": s} for k, a, b, s in found])
-                clean.append(redact(text, found))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind), pa.array(clean, pa.string())], names=schema.names)
+                if redacted:
+                    clean.append(redact(text, found))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind), *([pa.array(clean, pa.string())] if redacted else [])], names=schema.names)
 
     bounded_batches(docs.sparkSession)
     return docs.select(id_col, text_col).mapInArrow(f, schema)

@@ -36,7 +36,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
+    return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents"), redacted=False))
 
 
 def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))
+    return pii.digest(pii.find_pii(table(spark, sf_dir, "documents"), redacted=False))
 
 
 OP3_SQL = """

@@ -157,15 +157,16 @@ def scan(text: str, ratio: Ratio, threshold: float = THRESHOLD, per_char: float
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("kind", T.StringType())]))
 
 
-def find_secrets(docs: DataFrame, samples: Iterable[tuple[str, int]] | None = None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, per_char: float = PER_CHAR) -> DataFrame:
-    """One row per input row: the id, secrets (array of start, end, kind) and redacted (the text, each span as [SECRET]).
+def find_secrets(docs: DataFrame, samples: Iterable[tuple[str, int]] | None = None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, per_char: float = PER_CHAR, redacted: bool = True) -> DataFrame:
+    """One row per input row: the id, secrets (array of start, end, kind) and, unless redacted is false, the text redacted, each
+    span as [SECRET].
 
     samples: labelled strings (string, 1 random or 0 ordinary) to train on; None takes labelled_samples().
     Null text counts as empty: no spans, redacted ''. A null id stays null; repeated rows give repeated rows; an empty table
     gives an empty result; other columns are neither read nor returned. Overlapping spans are redacted as one. Narrow.
     """
     samples = list(labelled_samples() if samples is None else samples)
-    schema = T.StructType([docs.schema[id_col], T.StructField("secrets", SPANS), T.StructField("redacted", T.StringType())])
+    schema = T.StructType([docs.schema[id_col], T.StructField("secrets", SPANS), *([T.StructField("redacted", T.StringType())] if redacted else [])])
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratio = Ratio(samples)
@@ -176,8 +177,9 @@ def find_secrets(docs: DataFrame, samples: Iterable[tuple[str, int]] | None = No
                 text = x.as_py() or ""
                 found = scan(text, ratio, threshold, per_char)
                 spans.append([{"start": a, "end": b, "kind": k} for a, b, k in found])
-                clean.append(redact(text, found))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind), pa.array(clean, pa.string())], names=schema.names)
+                if redacted:
+                    clean.append(redact(text, found))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind), *([pa.array(clean, pa.string())] if redacted else [])], names=schema.names)
 
     bounded_batches(docs.sparkSession)
     return docs.select(id_col, text_col).mapInArrow(f, schema)
