@@ -102,6 +102,83 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark):
     assert models[0].weights == models[1].weights
 
 
+def test_risk_and_gradient():
+    """The risk is that of its formula, text by text; the direction is its gradient by differences, on either side of the cut."""
+    import math
+
+    rng = np.random.default_rng(4)
+    for shift in (0.0, -6.0):
+        xp, xu = rng.integers(0, 2, (7, 5)).astype(float), rng.integers(0, 2, (11, 5)).astype(float)
+        w, b, prior, decay = rng.normal(size=5), shift, 0.3, 0.01
+
+        def parts(w, b):
+            z = lambda x: float(x @ w) + b
+            plus = sum(math.log1p(math.exp(-z(x))) for x in xp) / 7
+            negative = sum(math.log1p(math.exp(z(x))) for x in xu) / 11 - prior * sum(math.log1p(math.exp(z(x))) for x in xp) / 7
+            return prior * plus, negative, decay * sum(k * k for k in w) / 2
+
+        value, negative, g = toxicity.risk(w, b, xp, xu, prior, decay)
+        want = parts(w, b)
+        assert abs(negative - want[1]) < 1e-9 and abs(value - (want[0] + max(want[1], 0) + want[2])) < 1e-9
+        stepped = (lambda p: p[0] + p[1] + p[2]) if negative >= 0 else (lambda p: p[2] - p[1])
+        for k in range(6):
+            e = np.eye(6)[k] * 1e-6
+            d = (stepped(parts(w + e[:5], b + e[5])) - stepped(parts(w - e[:5], b - e[5]))) / 2e-6
+            assert abs(d - g[k]) < 1e-6
+    w = np.full(5, -3.0)
+    assert toxicity.risk(w, -3.0, np.ones((3, 5)), np.zeros((3, 5)), 0.9, 0.0)[1] > 0 > toxicity.risk(-w, 3.0, np.ones((3, 5)), np.zeros((3, 5)) - 3, 0.9, 0.0)[1]
+
+
+def test_toxicity_trains_on_whole_texts(spark):
+    """What tells a text apart counts wherever it stands, after however many other words; ties in scores are ties."""
+    rng = random.Random(8)
+    filler = lambda n: " ".join(f"{rng.choice('abcdefgh')}{rng.choice('ijklmnop')}{rng.randrange(3000)}x{rng.choice('qrstuv')}" for _ in range(n))
+    rows = [(k, filler(30 if k % 50 else 9000) + (" vileword" if k % 5 == 0 else "")) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in range(300)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert all(got[k].predicted == (k % 5 == 0) for k in range(300))
+    twice = toxicity.score(docs.unionAll(docs), model).groupBy("doc_id").agg(F.countDistinct("score").alias("n"), F.count("*").alias("k")).collect()
+    assert all((r.n, r.k) == (1, 2) for r in twice)
+
+
+def test_few_positives_warn():
+    rows = [np.array([k, 50 + k % 3]) for k in range(20)]
+    with pytest.warns(UserWarning, match="tells them apart"):
+        toxicity.train(rows[:3] + rows[:3], rows, 0.1)
+
+
+def test_normal_equations_and_calibration(spark):
+    """Against one machine: the same features, one solve; the calibration sees only rows that the ridge did not."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels").where(fold(F.col("doc_id")) != 1)
+    model = quality.fit(docs, labels)
+    back = F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(quality.HELD_BACK)) == 0
+    rows = docs.join(labels, "doc_id").where("quality is not null").select("text", "quality", back.alias("back")).collect()
+    x = np.array([quality.statistics(r.text or "") for r in rows])
+    y, held = np.array([r.quality for r in rows], float), np.array([r.back for r in rows])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, x.std(0) + 1e-3)
+    z = model.features(x[~held])
+    ridge = np.linalg.lstsq(np.vstack([z, np.sqrt(quality.RIDGE) * np.eye(quality.D + 1)[:-1]]), np.r_[y[~held], np.zeros(quality.D)], rcond=None)[0]
+    assert np.allclose(z @ model.ridge, z @ ridge, atol=1e-4)
+    at = np.clip((model.raw(x[held]) + 0.5) / 2 * quality.SCORE_BINS, 0, quality.SCORE_BINS - 1).astype(int)
+    bins = np.unique(at)
+    want = quality.isotonic(np.array([y[held][at == b].mean() for b in bins]), np.array([(at == b).sum() for b in bins], float))
+    assert np.allclose(model.levels, want) and np.allclose(model.steps, (bins + 0.5) / quality.SCORE_BINS * 2 - 0.5)
+
+
+def test_base_spans_of_documents(spark):
+    """The queries' rows over all documents against a plain reading of the patterns."""
+    texts = {r.doc_id: r.text or "" for r in table(spark, SF, "documents").collect()}
+    found = {r.doc_id: r for r in queries.op5_secrets(spark, SF).collect()}
+    assert found.keys() == texts.keys() and all(r.base_sha256 == secrets.base_digest(texts[i]) for i, r in found.items())
+    for i, r in ((r.doc_id, r) for r in queries.op10_pii(spark, SF).collect()):
+        plain = sorted(plain_pii(texts[i]))
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for k, _, _ in plain) for x in range(4)]
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in plain).encode()).hexdigest()
+        assert {f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in plain} <= set(r.spans.split(","))
+
+
 def test_non_negative_risk():
     rng = np.random.default_rng(0)
     make = lambda toxic: np.unique(np.r_[rng.integers(100, 2000, 30), [7] if toxic else [8]])
