@@ -168,10 +168,16 @@ def _best(pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray]], most: int) ->
 
 
 def _meet(lists: pa.Table, told: pa.Table, degree: int) -> pa.Table:
-    """One home. lists: (h, u, w, new), the neighbours of its nodes; told: (at, x, xv, xfar), every vector in them once. Gives pairs
+    """One home. lists: (h, u, w, new), the neighbours of its nodes; told: of _sent(), every vector in them once. Gives pairs
     (u, w, d) of neighbours of one node that are nearer than u's farthest."""
-    told = told.sort_by("x")
-    known, x, far = told.column("x").to_numpy(), unpack(told.column("xv")), told.column("xfar").to_numpy()
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    if not len(told) or not len(lists):
+        return pa.table(dict(zip(("u", "w", "d"), none, strict=True)))
+    known, far = (np.frombuffer(b"".join(told.column(c).to_pylist()), k) for c, k in (("xs", np.int64), ("xfars", np.float64)))
+    flat = np.frombuffer(b"".join(told.column("xvs").to_pylist()), np.uint8).reshape(len(known), -1)
+    order = np.argsort(known)
+    known, far = known[order], far[order]
+    x = np.ascontiguousarray(flat[order, 1:]).view(f"f{flat[0, 0]}").astype(np.float64)
     owner, w, new = lists.column("u").to_numpy(), lists.column("w").to_numpy(), lists.column("new").to_numpy(zero_copy_only=False).astype(bool)
     order = np.lexsort((w, owner))
     owner, w, new = owner[order], w[order], new[order]
@@ -180,7 +186,6 @@ def _meet(lists: pa.Table, told: pa.Table, degree: int) -> pa.Table:
     owner, w = owner[once], w[once]
     at = np.searchsorted(known, w)
     cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else np.zeros(1, np.int64)
-    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     out, count = [none], 0
     for a, b in zip(cuts, cuts[1:], strict=False):
         i, fresh = at[a:b], new[a:b]
@@ -199,6 +204,25 @@ def _meet(lists: pa.Table, told: pa.Table, degree: int) -> pa.Table:
     return pa.table(dict(zip(("u", "w", "d"), _best(out, degree), strict=True)))
 
 
+def _sent(asks: DataFrame, vectors: DataFrame, buckets: int) -> DataFrame:
+    """(at, xs, xvs, xfars): for each home what it asks for of vectors (x, xv, xfar), a row for each bucket of nodes that has any of
+    it. asks: (at, asked)."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets))
+
+    def send(asks: pa.Table, vectors: pa.Table) -> pa.Table:
+        asks, vectors = asks.sort_by("at"), vectors.sort_by("x")
+        x, at = vectors.column("x").to_numpy(), asks.column("at").to_numpy()
+        rows = np.searchsorted(x, asks.column("asked").to_numpy())
+        cuts = np.flatnonzero(np.r_[True, at[1:] != at[:-1], True]) if len(at) else np.zeros(1, np.int64)
+        width = len(vectors.column("xv")[0].as_py()) if len(x) else 1
+        packed, far = np.frombuffer(b"".join(vectors.column("xv").to_pylist()), np.uint8).reshape(-1, width), vectors.column("xfar").to_numpy()
+        pieces = [rows[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return pa.table({"at": pa.array(at[cuts[:-1]], pa.int64()), "xs": pa.array([x[p].tobytes() for p in pieces], pa.binary()), "xvs": pa.array([packed[p].tobytes() for p in pieces], pa.binary()), "xfars": pa.array([far[p].tobytes() for p in pieces], pa.binary())})
+
+    asked, held = asks.withColumn("b", place("asked")), vectors.withColumn("b2", place("x"))
+    return asked.groupBy("b").cogroup(held.groupBy("b2")).applyInArrow(lambda a, v: send(a.drop_columns("b"), v.drop_columns("b2")), "at long, xs binary, xvs binary, xfars binary")
+
+
 def _trees(nodes: DataFrame, depth: int, seeds: range) -> list[list[tuple[np.ndarray, float]]]:
     """Hyperplanes of so many trees, fitted on a sample by hash of the node."""
     rows = nodes.select("u", "v").orderBy(F.xxhash64("u"), "u").limit(max(SAMPLE, 16 << depth)).select("v").toArrow()
@@ -237,9 +261,8 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE) -> DataFrame:
         lists = near.groupBy("u").agg(F.collect_list(F.struct("w", "new")).alias("l"), F.max("new").alias("any")).where("any")
         lists = materialise(lists.join(nodes.select("u", "h"), "u").select("h", "u", F.explode("l").alias("l")).select("h", "u", "l.w", "l.new"), "lists")
         far = graph.groupBy("u").agg(F.when(F.count("*") >= degree, F.max("d")).otherwise(float("inf")).alias("far"))
-        told = nodes.select(F.col("u").alias("w"), "v").join(far.withColumnRenamed("u", "w"), "w", "left").select("w", "v", F.coalesce("far", F.lit(float("inf"))).alias("far"))
-        asks = lists.select(F.col("h").alias("at"), F.col("w").alias("asked")).distinct()
-        told = asks.join(told, F.col("asked") == F.col("w")).select("at", F.col("asked").alias("x"), F.col("v").alias("xv"), F.col("far").alias("xfar"))
+        told = nodes.select("u", "v").join(far, "u", "left").select(F.col("u").alias("x"), F.col("v").alias("xv"), F.coalesce("far", F.lit(float("inf"))).alias("xfar"))
+        told = _sent(lists.select(F.col("h").alias("at"), F.col("w").alias("asked")).distinct(), told, -(-n // HOME))
         met = lists.groupBy("h").cogroup(told.groupBy("at")).applyInArrow(lambda a, b: _meet(a, b, degree), "u long, w long, d double")
         after = materialise(_kept(_after(graph, back, met), degree), "graph")
         moved = after.where("new").count()

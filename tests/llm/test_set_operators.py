@@ -230,7 +230,9 @@ def test_meetings_give_no_loops(spark):
     import pyarrow as pa
 
     lists = pa.table({"h": [0] * 5, "u": [1, 1, 1, 2, 2], "w": [3, 4, 3, 4, 5], "new": [True, False, False, False, False]})
-    told = pa.table({"at": [0] * 3, "x": [5, 3, 4], "xv": neighbours.pack(np.array([[2.0], [0.0], [1.0]])), "xfar": [9.0] * 3})
+    packed = neighbours.pack(np.array([[2.0], [0.0], [1.0]]))
+    rows = [(np.array([5, 3]), packed[:2]), (np.array([4]), packed[2:])]
+    told = pa.table({"at": [0, 0], "xs": [x.tobytes() for x, _ in rows], "xvs": [b"".join(v) for _, v in rows], "xfars": [np.full(len(x), 9.0).tobytes() for x, _ in rows]})
     assert neighbours._meet(lists, told, 8).to_pylist() == [{"u": 3, "w": 4, "d": 1.0}, {"u": 4, "w": 3, "d": 1.0}]
 
 
