@@ -28,10 +28,14 @@ class WordHash(dict):
 
 def rolling(words: list[bytes], known: WordHash, k: int) -> np.ndarray:
     """The number of every run of k words, in order; of fewer words one number for all of them; none without words."""
-    n = len(words)
+    return rolled(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), k)
+
+
+def rolled(w: np.ndarray, k: int) -> np.ndarray:
+    """As rolling(), from the numbers of the words."""
+    n = len(w)
     if not n:
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(known.__getitem__, words), np.uint64, n)
     size = min(k, n)
     h = w[: n - size + 1].copy()
     for i in range(1, size):

@@ -300,13 +300,50 @@ def test_leaks(spark, monkeypatch):
     turned = "Nine ten, eleven twelve thirteen fourteen fifteen sixteen. filler words here One two three four five six seven eight!"
     benchmark = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "tiny item"), (5, item)], "item_id long, text string")
     docs = spark.createDataFrame([(10, f"before {item} after"), (11, turned), (12, "one two three four five six other"), (13, None), (14, ""), (10, f"before {item} after"), (None, "a tiny item b"), (15, "tiny other item")], "doc_id long, text string").withColumn("item_id", F.lit("x"))
-    for size in (decontaminate.BLOCK_BYTES, 40):
-        got = sorted(((r.doc_id, r.item_id, r.n_tiles) for r in decontaminate.find_leaks(docs, benchmark, block_bytes=size).collect()), key=str)
+    for size in (decontaminate.BROADCAST_BYTES, 0):
+        got = sorted(((r.doc_id, r.item_id, r.n_tiles) for r in decontaminate.find_leaks(docs, benchmark, broadcast_bytes=size).collect()), key=str)
         assert got == sorted([(10, 1, 1), (10, 5, 1), (10, 1, 1), (10, 5, 1), (11, 1, 2), (11, 5, 2), (None, 4, 1)], key=str)
-        assert sorted(r.doc_id for r in decontaminate.without_leaks(docs, benchmark, block_bytes=size).collect()) == [12, 13, 14, 15]
+        assert sorted(r.doc_id for r in decontaminate.without_leaks(docs, benchmark, broadcast_bytes=size).collect()) == [12, 13, 14, 15]
     assert decontaminate.find_leaks(docs.limit(0), benchmark).count() == 0 and decontaminate.find_leaks(docs, benchmark.limit(0)).count() == 0
 
 
+def test_leaks_of_many_like_items(spark):
+    """Items that share most of their seeds, of all lengths, odd columns: equal to tiling every document with every item."""
+    rng = random.Random(8)
+    stem = "which of the following is the best answer to the question".split()
+    items = [(k, " ".join(stem[: rng.randint(0, 11)] + [f"w{rng.randrange(12)}" for _ in range(rng.randint(1, 12))])) for k in range(40)]
+    rows = []
+    for k in range(60):
+        parts = [items[rng.randrange(40)][1].split() for _ in range(3)]
+        parts = [p[rng.randrange(3) :] for p in parts] + [[f"x{rng.randrange(50)}" for _ in range(5)]]
+        rng.shuffle(parts)
+        rows.append((k, " ".join(sum(parts, [])), k, [k]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row0 long, _seeds0 array<int>")
+    want = set()
+    for d, text, _, _ in rows:
+        words = decontaminate.tokens(text)
+        for i, own in ((i, decontaminate.tokens(t)) for i, t in items):
+            k = min(5, len(own))
+            if sum(n for _, _, n in brute_tiles(own, words, k)) >= 0.6 * len(own):
+                want.add((d, i))
+    assert len(want) > 60
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for size in (decontaminate.BROADCAST_BYTES, 0):
+        got = decontaminate.find_leaks(docs, benchmark, broadcast_bytes=size).collect()
+        assert sorted((r.doc_id, r.item_id) for r in got) == sorted(want)
+        kept = decontaminate.without_leaks(docs, benchmark, broadcast_bytes=size)
+        assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(range(60)) - {d for d, _ in want}
+
+
+def test_leaks_with_a_full_filter(spark, monkeypatch):
+    """A filter too small for its seeds lets texts through in vain and loses none."""
+    docs, benchmark = table(spark, DATA, "documents"), table(spark, DATA, "benchmark")
+    want = sorted(map(tuple, decontaminate.find_leaks(docs, benchmark).collect()))
+    lead = decontaminate.Lead(benchmark, "item_id", "text", 5, 0.6, decontaminate.BROADCAST_BYTES)
+    monkeypatch.setattr(decontaminate.Lead, "_filter", lambda self: np.full(4, (1 << 64) - 1, np.uint64))
+    assert sorted(map(tuple, decontaminate.find_leaks(docs, benchmark).collect())) == want and lead.n_seeds
+
+
 def test_leaks_of_documents(spark):
     docs, items = table(spark, DATA, "documents").collect(), table(spark, DATA, "benchmark").collect()
     want = set()
