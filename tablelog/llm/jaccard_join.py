@@ -19,7 +19,6 @@ it. The steps:
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +36,8 @@ PERCENT, WORDS = 75, 5
 HEAVY, LEAST = 1_000_000, 4
 #: Largest candidate group that is sifted by bitmaps; shingles of a block; shingles that a task counts at once.
 GROUP, BLOCK, COUNTED = 2048, 400_000, 1_500_000
-#: Prefix entries that a task sends at once.
-SENT = 500_000
+#: Prefix entries that a task sends at once; about how many a range of shingle numbers gets, however large the input.
+SENT, RANGE = 500_000, 250_000
 #: Sets of each component of a block that meet those of other blocks first.
 LEADERS = 6
 
@@ -304,9 +303,28 @@ def _groups(table: pa.Table) -> pa.Table:
     new = np.r_[True, (key[1:] != key[:-1]) | (number[1:] != number[:-1])]
     key, number = key[new], number[new]
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    ends = np.r_[starts[1:], len(key)]
-    out = Counter(number[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True) if b - a > 1)
-    return pa.table({"sets": pa.array([np.frombuffer(x, np.int64) for x in out], pa.list_(pa.int64())), "k": pa.array(list(out.values()), pa.int64())})
+    sizes = np.diff(np.r_[starts, len(key)])
+    shared = np.flatnonzero(sizes > 1)  # most shingles are of one set: nothing is kept for them
+    shared = shared[np.argsort(sizes[shared], kind="stable")]
+    sets, lengths, counts = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)], [np.zeros(0, np.int64)]
+    for at in np.split(shared, np.flatnonzero(np.diff(sizes[shared])) + 1) if len(shared) else []:
+        size = sizes[at[0]]
+        rows = number[starts[at][:, None] + np.arange(size)]
+        # equal groups lie together unless others have their hash; what that leaves apart is added up later
+        rows = rows[np.argsort(mix(rows.view(np.uint64)).sum(1), kind="stable")]
+        first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(1)])
+        sets.append(rows[first].ravel())
+        lengths.append(np.full(len(first), size))
+        counts.append(np.diff(np.r_[first, len(rows)]))
+    offsets = pa.array(np.cumsum(np.concatenate(lengths)), pa.int32())
+    return pa.table({"sets": pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets))), "k": pa.array(np.concatenate(counts))})
+
+
+def _ranges(facts: DataFrame, least: int, percent: int) -> int:
+    """How many ranges share out the prefix entries of these sets, RANGE or so to each; equal sets are counted singly."""
+    prefix = F.least(F.col("n"), F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 2)
+    entries = facts.where("s is not null").agg(F.sum(prefix)).first()[0] or 0
+    return max(least, -(-int(entries) // RANGE))
 
 
 def _runs(batches: Iterator[pa.RecordBatch], n_keys: int = 1) -> Iterator[pa.Table]:
@@ -413,7 +431,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     order = np.argsort(heavy)
     # bounded by HEAVY entries of 12 bytes
     order_of = spark.sparkContext.broadcast((heavy[order], counts[order].astype(np.int32)))
-    ranges = max(64, base.rdd.getNumPartitions())
+    ranges = _ranges(facts, max(64, base.rdd.getNumPartitions()), percent)
     entries = base.select("_text").mapInArrow(lambda it: _prefixes(it, *order_of.value, ranges, words, percent), "r int, keys binary, sets binary")
     groups = materialise(entries.groupBy("r").applyInArrow(_groups, "sets array<long>, k long").groupBy("sets").agg(F.sum("k").alias("k")).where("k > 1 or size(sets) > 2").drop("k"), "groups")
     by_set = facts.where("s is not null").groupBy("s").agg(F.min("id").alias("id"), F.first("n").alias("n"))

@@ -103,6 +103,42 @@ def test_entries_that_agree_in_their_bits():
     assert len(np.unique(keys)) == jaccard_join.prefix_length(20) and len(keys) == len(np.unique(keys)) + 1
 
 
+def test_groups_keep_nothing_for_lone_shingles():
+    """The groups of a range are those of a plain count, in bounded memory: most shingles are of one set."""
+    import tracemalloc
+    from collections import Counter, defaultdict
+
+    import pyarrow as pa
+
+    r = np.random.default_rng(3)
+    key = np.r_[r.permutation(1 << 20)[:90_000], np.repeat(np.arange(1 << 20, (1 << 20) + 4_000), 3)].astype(np.uint32)
+    number = np.r_[r.integers(-(1 << 62), 1 << 62, 90_000), r.integers(-(1 << 62), 1 << 62, (500, 3))[np.arange(4_000) % 500].ravel()]
+    key[:300] = 5  # a frequent one
+    told = pa.table({"keys": pa.array([key[k::50].tobytes() for k in range(50)], pa.binary()), "sets": pa.array([number[k::50].tobytes() for k in range(50)], pa.binary())})
+    tracemalloc.start()
+    got = jaccard_join._groups(told)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    by_key = defaultdict(set)
+    for k, n in zip(key.tolist(), number.tolist(), strict=True):
+        by_key[k].add(n)
+    want = Counter(tuple(sorted(x)) for x in by_key.values() if len(x) > 1)
+    assert {tuple(x): k for x, k in zip(got.column("sets").to_pylist(), got.column("k").to_pylist(), strict=True)} == want and max(map(len, want)) >= 300
+    assert peak < 65 * len(key)
+
+
+def test_ranges_grow_with_the_entries(spark, monkeypatch):
+    """However many entries there are, a range holds RANGE of them or so; the number of ranges changes no result."""
+    facts = spark.createDataFrame([(100, 1)] * 3000 + [(1, 2), (0, None)], "n long, s long").repartition(1)
+    monkeypatch.setattr(jaccard_join, "RANGE", 500)
+    assert jaccard_join._ranges(facts, 64, 75) == -(-(3000 * 27 + 1) // 500)
+    assert jaccard_join._ranges(facts.where("s is null"), 64, 75) == 64
+    docs = table(spark, DATA, "documents")
+    many = sorted(map(tuple, jaccard_join.classes(docs).collect()))
+    monkeypatch.setattr(jaccard_join, "RANGE", 1 << 30)
+    assert many == sorted(map(tuple, jaccard_join.classes(docs).collect()))
+
+
 def test_one_of_each_with_any_names(spark):
     """Extra columns named as anything, and a very long text, go through."""
     long = " ".join(f"word{k}" for k in range(60_000))
