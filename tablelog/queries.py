@@ -8,8 +8,11 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -338,16 +341,50 @@ def convert_parquet(spark, d):
     return made(spark, d, "converted", build).to_df()
 
 
+_DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def _derby(spark: SparkSession, df: DataFrame, name: str) -> str:
+    """The URL of a Derby database with df as a table, in a jar in the shared folder. A jar is read-only, so the driver and
+    all executors may open it at once; a database in memory or in a folder is of one JVM."""
+    shared = local(_folder(spark))
+    if not shared.startswith("/"):
+        raise RuntimeError(f"Derby opens databases in mounted folders only, not in {shared}")
+    df = df.toDF(*(c.upper() for c in df.columns))
+    own = tempfile.mkdtemp(prefix="tablelog-derby-")
+    try:
+        url = f"jdbc:derby:{own}/db"
+        # without rows there are no tasks, so only the driver opens it; the rows follow as files
+        df.where(F.lit(False)).write.format("jdbc").options(url=f"{url};create=true", dbtable=name, **_DERBY).save()
+        # every value in quotes, for Derby drops blanks outside them; null is nothing
+        fields = (F.coalesce(F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit("")) for c in df.columns)
+        df.select(F.concat_ws(",", *fields)).write.text(f"file://{shared}/rows")
+        jvm = spark.sparkContext._jvm
+        derby = jvm.org.apache.derby.iapi.jdbc.AutoloadedDriver()
+        to = derby.connect(url, jvm.java.util.Properties())
+        for f in sorted(Path(shared, "rows").glob("part-*.txt")):
+            to.createStatement().execute(f"call SYSCS_UTIL.SYSCS_IMPORT_TABLE(null, '{name.upper()}', '{f}', ',', '\"', 'UTF-8', 0)")
+        to.close()
+        try:
+            derby.connect(f"{url};shutdown=true", jvm.java.util.Properties())
+        except Py4JJavaError as e:  # the sign of a clean shutdown
+            if e.java_exception.getSQLState() != "08006":
+                raise
+        with zipfile.ZipFile(f"{shared}/db.jar", "w", allowZip64=True) as jar:
+            for f in sorted(Path(own, "db").rglob("*")):
+                jar.write(f, f.relative_to(own))
+        shutil.rmtree(f"{shared}/rows")
+    finally:
+        shutil.rmtree(own, ignore_errors=True)
+    return f"jdbc:derby:jar:({shared}/db.jar)db"
+
+
 @query("select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")
 def jdbc_chunks(spark, d):
     from tablelog.sources.jdbc import import_table
 
     def build(t: Table) -> None:
-        url = f"jdbc:derby:memory:tablelog{uuid.uuid4().hex};create=true"
-        driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-        s = source(spark, d, "supplier")
-        s.toDF(*(c.upper() for c in s.columns)).write.format("jdbc").options(url=url, dbtable="supplier", **driver).save()
-        import_table(spark, url, "supplier", t.root, "s_suppkey", 4, properties=driver)
+        import_table(spark, _derby(spark, source(spark, d, "supplier"), "supplier"), "supplier", t.root, "s_suppkey", 4, properties=_DERBY)
 
     return made(spark, d, "imported", build).to_df()
 

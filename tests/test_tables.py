@@ -3,13 +3,17 @@
 import datetime as dt
 import os
 import shutil
+import subprocess
+import sys
 from decimal import Decimal
+from pathlib import Path
 
+import pyspark
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelog import errors
+from tablelog import errors, queries
 from tablelog.functions import options
 from tablelog.functions.intervals import interval_ms, shift_zone, timestamp_ms
 from tablelog.functions.schema_rules import check_external, write_compatible
@@ -17,9 +21,11 @@ from tablelog.operators import write
 from tablelog.operators.catalog import Catalog
 from tablelog.plans import expr as E
 from tablelog.plans.actions import AddFile, Metadata, Protocol, RemoveFile
+from tablelog.sources import jdbc
 from tablelog.sources.jdbc import parser
 from tablelog.sources.table import Table, read_table
 from tablelog.streaming import sink, source
+from tests.conftest import DATA
 
 INT = T.IntegerType()
 
@@ -399,3 +405,32 @@ def test_data_source(spark, visits):
     assert spark.read.format("tablelog").option("versionAsOf", 0).option("columns", "days").load(visits.root).columns == ["days"]
     with pytest.raises(Exception, match="doesn't go with"):
         spark.read.format("tablelog").option("versionAsOf", 0).option("startingVersion", 0).load(visits.root)
+
+
+ODD = [(1, None, 1.5), (2, "", -0.1), (3, "  a ", 1e300), (4, 'x","y\\', None), (5, "two\nlines", 0.0), (6, "ß✓", 2.0), (7, '"', 3.0)]
+
+
+def test_derby_keeps_odd_values(spark):
+    """Rows reach the database as they are, and several readers share it."""
+    df = spark.createDataFrame(ODD, "id long, name string, w double").repartition(3)
+    back = jdbc.read_in_chunks(spark, queries._derby(spark, df, "odd"), "odd", "id", 3, queries._DERBY)
+    assert back.rdd.getNumPartitions() == 3
+    assert sorted(tuple(r) for r in back.collect()) == ODD
+
+
+def test_jdbc_chunks_on_a_cluster(tmp_path):
+    """Executors are JVMs of their own: all of them read the driver's database."""
+    home = tmp_path / "home"
+    (home / "work").mkdir(parents=True)
+    for p in Path(pyspark.__file__).parent.iterdir():
+        if p.name != "work":
+            (home / p.name).symlink_to(p)
+    code = f"""
+from pyspark.sql import SparkSession
+from tablelog.queries import QUERIES
+s = SparkSession.builder.master("local-cluster[2,1,600]").config("spark.executor.memory", "500m").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://{tmp_path}/shared").getOrCreate()
+print("rows", sorted(r.s_suppkey for r in QUERIES["jdbc_chunks"](s, {DATA!r}).collect()) == sorted(r.s_suppkey for r in s.read.parquet({DATA!r} + "/supplier.parquet").collect()))
+"""
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("SPARK_", "PYSPARK_"))} | {"SPARK_HOME": str(home), "SPARK_SCALA_VERSION": "2.13", "SPARK_LOCAL_IP": "127.0.0.1", "PYSPARK_PYTHON": sys.executable}
+    told = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=180)
+    assert "rows True" in told.stdout, told.stderr[-3000:]
