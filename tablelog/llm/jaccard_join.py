@@ -220,8 +220,11 @@ def _facts(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordB
     names = ["id", "n", "s", "map", "h", "c"]
 
     def repeated() -> pa.RecordBatch:
-        h, c = np.unique(np.concatenate(held), return_counts=True)
-        h, c = h[c > 1].astype(np.int64), c[c > 1].astype(np.int32)
+        a = np.concatenate(held)
+        held.clear()
+        a.sort()
+        h, c = np.unique(a[1:][a[1:] == a[:-1]], return_counts=True)  # all but the first of each
+        h, c = h.astype(np.int64), (c + 1).astype(np.int32)
         pieces = range(0, len(h), 50_000)
         values = [[None] * len(pieces)] * 4 + [[h[i : i + 50_000] for i in pieces], [c[i : i + 50_000] for i in pieces]]
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names=names)
@@ -239,7 +242,7 @@ def _facts(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordB
                 n_held += len(a)
                 if n_held >= COUNTED:
                     yield repeated()
-                    held, n_held = [], 0
+                    n_held = 0
         none = [None] * len(n)
         yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip([batch.column(0).to_pylist(), n, s, maps, none, none], kinds, strict=True)], names=names)
     if held:
@@ -253,18 +256,23 @@ def _entry(a: np.ndarray, ranges: int) -> np.ndarray:
 
 def _prefixes(batches: Iterator[pa.RecordBatch], heavy: np.ndarray, counts: np.ndarray, ranges: int, words: int, percent: int) -> Iterator[pa.RecordBatch]:
     known, seen = WordHash(), set()
-    keys: list[np.ndarray] = []
-    numbers: list[np.ndarray] = []
+    keys: list[np.ndarray] = []  # entries: range, and low 32 bits
+    numbers: list[int] = []
     held = 0
 
     def send() -> pa.RecordBatch:
-        key, number = np.concatenate(keys), np.concatenate(numbers)
-        r = ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
+        # what is held goes as it is copied, and the columns are views: workers of an executor share its memory
+        number = np.repeat(np.array(numbers, np.int64), [len(k) for k in keys])
+        key = np.concatenate(keys)
+        keys.clear()
+        numbers.clear()
+        r = (key >> np.uint64(32)).astype(np.int32)
+        key = key.astype(np.uint32)
         order = np.argsort(r, kind="stable")
-        key, number, r = key[order].astype(np.uint32), number[order], r[order]
-        cuts = np.flatnonzero(np.diff(r)) + 1
-        columns = [pa.array(r[np.r_[0, cuts]], pa.int32()), *(pa.array([k.tobytes() for k in np.split(x, cuts)], pa.binary()) for x in (key, number))]
-        return pa.RecordBatch.from_arrays(columns, names=["r", "keys", "sets"])
+        key, number, r = key[order], number[order], r[order]
+        at = np.r_[0, np.flatnonzero(np.diff(r)) + 1, len(r)]
+        packed = (pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * x.itemsize).astype(np.int32)), pa.py_buffer(x)]) for x in (key, number))
+        return pa.RecordBatch.from_arrays([pa.array(r[at[:-1]], pa.int32()), *packed], names=["r", "keys", "sets"])
 
     for batch in batches:
         for x in batch.column(0):
@@ -282,13 +290,12 @@ def _prefixes(batches: Iterator[pa.RecordBatch], heavy: np.ndarray, counts: np.n
             # entries are told apart by range and 32 bits: where two of a prefix agree in both, it takes one more for each
             while size < len(a) and (distinct := len(np.unique(_entry(ranked[:size], ranges)))) < want:
                 size = min(len(a), size + want - distinct)
-            first = ranked[:size]
-            keys.append(first)
-            numbers.append(np.full(len(first), s, np.int64))
-            held += len(first)
+            keys.append(_entry(ranked[:size], ranges))
+            numbers.append(s)
+            held += size
             if held > SENT:
                 yield send()
-                keys, numbers, held = [], [], 0
+                held = 0
                 seen.clear()
     if held:
         yield send()

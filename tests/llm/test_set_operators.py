@@ -127,6 +127,39 @@ def test_groups_keep_nothing_for_lone_shingles():
     assert peak < 65 * len(key)
 
 
+def test_little_is_held_while_prefixes_are_made(monkeypatch):
+    """Counts and prefix entries are right, and a worker holds few bytes for each: not whole sets behind their prefixes."""
+    import tracemalloc
+    from collections import Counter
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(jaccard_join, "SENT", 1 << 30)
+    monkeypatch.setattr(jaccard_join, "COUNTED", 1 << 30)
+    r = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in r.integers(0, 300, 2_000)) for _ in range(150)]
+    texts += [" ".join(texts[0].split()[:900] + texts[1].split()[:900])] * 2
+    batch = pa.record_batch({"id": range(len(texts)), "text": texts})
+    sets = {t: jaccard_join.shingle_set(t, jaccard_join.WordHash()) for t in texts}
+
+    def run(rows):
+        tracemalloc.start()
+        out = list(rows)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, peak
+
+    (_, told), peak = run(jaccard_join._facts(iter([batch]), 5))
+    want = {h: c for h, c in Counter(h for a in sets.values() for h in a.astype(np.int64).tolist()).items() if c > 1}
+    assert want and dict(zip(told.column("h").to_pylist()[0], told.column("c").to_pylist()[0], strict=True)) == want
+    assert peak < 30 * sum(map(len, sets.values()))
+    (sent,), peak = run(jaccard_join._prefixes(iter([batch.select(["text"])]), np.zeros(0, np.uint64), np.zeros(0, np.int64), 64, 5, 75))
+    got = [(r, k, s) for r, k, s in zip(*(c.to_pylist() for c in sent.columns), strict=True) for k, s in zip(np.frombuffer(k, np.uint32).tolist(), np.frombuffer(s, np.int64).tolist(), strict=True)]
+    firsts = {t: a[: jaccard_join.prefix_length(len(a))] for t, a in sets.items()}
+    assert sorted(got) == sorted((int(h) >> 58, int(h) & 0xFFFFFFFF, jaccard_join.set_number(sets[t])) for t, a in firsts.items() for h in a)
+    assert peak < 65 * len(got)
+
+
 def test_ranges_grow_with_the_entries(spark, monkeypatch):
     """However many entries there are, a range holds RANGE of them or so; the number of ranges changes no result."""
     facts = spark.createDataFrame([(100, 1)] * 3000 + [(1, 2), (0, None)], "n long, s long").repartition(1)
